@@ -33,7 +33,7 @@ SEED = 42
 LAGS = 7
 MIN_TRAINING_DAYS = 14
 BAND_SIGMAS = 1.96
-TREE_DEPTH = 10
+TREE_DEPTH = 5
 STEPS_PER_CHECKPOINT = 5
 
 MODEL_NAMES = {"randomforest": "spark-randomforest", "linreg": "spark-linreg"}

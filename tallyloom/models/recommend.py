@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tallyloom.models.indexing import dense_index
+from tallyloom.session import ensure_checkpoint_dir
 
 USER, ITEM = "customer_unique_id", "product_id"
 
@@ -106,6 +107,8 @@ def fit_recommender(
     try:
         if indexed.isEmpty():
             raise ValueError("no interactions to train on")
+        # With a checkpoint folder set, training cuts its own growing lineage.
+        ensure_checkpoint_dir(bought.sparkSession)
         model = ALS(
             userCol="user_idx",
             itemCol="item_idx",

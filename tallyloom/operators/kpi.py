@@ -9,7 +9,7 @@ cluster; what reaches the running sum is one row per calendar day.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tallyloom.operators.facts import MONEY_TOTAL
@@ -38,87 +38,115 @@ def revenue_daily(orders: DataFrame) -> DataFrame:
 
 
 def customer_days(orders: DataFrame) -> DataFrame:
-    """Orders per customer and purchase day.
+    """Orders and revenue per customer and purchase day.
 
     Order-grain input already has each (day, customer, order) once, so a count
-    is enough.  At most one row per calendar day remains for any customer.
+    is enough.  At most one row per calendar day remains for any customer, so a
+    customer with a large part of all orders stays small from here on.
     """
     return (
-        orders.filter(
-            F.col("purchase_date").isNotNull() & F.col("customer_unique_id").isNotNull()
-        )
+        orders.filter(F.col("purchase_date").isNotNull())
         .groupBy("customer_unique_id", F.col("purchase_date").alias("day"))
-        .agg(F.count("order_id").alias("orders"))
+        .agg(F.count("order_id").alias("orders"), F.sum("order_revenue").alias("revenue"))
     )
 
 
-def customer_events(days: DataFrame) -> DataFrame:
-    """Calendar events (+1/-1) of the three running measures, summed per day."""
+def daily_events(days: DataFrame) -> DataFrame:
+    """Revenue, orders and customer events (+1/-1), summed per calendar day.
+
+    Orders without a customer add to revenue and orders only.
+    """
     by_customer = Window.partitionBy("customer_unique_id").orderBy("day")
-    before = F.coalesce(F.sum("orders").over(by_customer.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-    lapse = F.date_add("day", ACTIVE_DAYS)
+    earlier = by_customer.rowsBetween(Window.unboundedPreceding, -1)
     traced = days.select(
         "day",
         "orders",
-        before.alias("before"),
-        F.least(F.lead("day").over(by_customer), lapse).alias("inactive_from"),
+        "revenue",
+        F.col("customer_unique_id").isNotNull().alias("known"),
+        F.coalesce(F.sum("orders").over(earlier), F.lit(0)).alias("before"),
+        F.least(F.lead("day").over(by_customer), F.date_add("day", ACTIVE_DAYS)).alias(
+            "inactive_from"
+        ),
     )
-    is_first = F.col("before") == 0
-    is_second = (F.col("before") < 2) & (F.col("before") + F.col("orders") >= 2)
-    zero, one = F.lit(0), F.lit(1)
+    known = F.col("known")
+    is_first = known & (F.col("before") == 0)
+    is_second = known & (F.col("before") < 2) & (F.col("before") + F.col("orders") >= 2)
+    zero = F.lit(0)
     arrival = F.struct(
         F.col("day").alias("day"),
-        F.when(is_first, one).otherwise(zero).alias("new"),
-        F.when(is_second, one).otherwise(zero).alias("repeating"),
-        one.alias("active"),
-        one.alias("purchases"),
+        F.col("orders").alias("orders"),
+        F.col("revenue").alias("revenue"),
+        is_first.cast("int").alias("new"),
+        is_second.cast("int").alias("repeating"),
+        known.cast("int").alias("active"),
+        known.cast("int").alias("buyers"),
     )
     departure = F.struct(
         F.col("inactive_from").alias("day"),
+        zero.cast("bigint").alias("orders"),
+        F.lit(None).alias("revenue"),
         zero.alias("new"),
         zero.alias("repeating"),
-        F.lit(-1).alias("active"),
-        zero.alias("purchases"),
+        (-known.cast("int")).alias("active"),
+        zero.alias("buyers"),
     )
+    summed = ("orders", "revenue", "new", "repeating", "active", "buyers")
     return (
         traced.select(F.inline(F.array(arrival, departure)))
         .groupBy("day")
-        .agg(*[F.sum(c).alias(c) for c in ("new", "repeating", "active", "purchases")])
+        .agg(*[F.sum(c).alias(c) for c in summed])
     )
 
 
-def customer_kpis(orders: DataFrame) -> DataFrame:
-    """Customers to date, customers active in the last 30 days, and repeat rate."""
+def running_customers(events: DataFrame) -> DataFrame:
+    """Daily sums with the customer measures run up over the calendar.
+
+    Departures can fall on days without orders; those are no snapshot days.
+    """
     # One row per calendar day: the unpartitioned window stays small at any scale.
     to_date = Window.orderBy("day").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    running = customer_events(customer_days(orders)).select(
-        "day",
-        "purchases",
+    return events.select(
+        F.col("day").alias("snapshot_date"),
+        "orders",
+        "revenue",
+        "buyers",
         F.sum("new").over(to_date).alias("total_customers"),
         F.sum("repeating").over(to_date).alias("repeat_customers"),
         F.sum("active").over(to_date).alias("active_customers"),
-    )
-    rate = F.coalesce(F.try_divide("repeat_customers", "total_customers"), F.lit(0.0))
-    # Departures can fall on days without purchases; those are no snapshot days.
-    return running.filter(F.col("purchases") > 0).select(
-        F.col("day").alias("snapshot_date"),
-        "total_customers",
-        "active_customers",
-        rate.cast(RATE).alias("repeat_rate"),
+    ).filter(F.col("orders") > 0)
+
+
+def _repeat_rate() -> Column:
+    rate = F.try_divide("repeat_customers", "total_customers")
+    return F.coalesce(rate, F.lit(0.0)).cast(RATE).alias("repeat_rate")
+
+
+def customer_kpis(orders: DataFrame) -> DataFrame:
+    """Customers to date, customers active in the last 30 days, and repeat rate."""
+    running = running_customers(daily_events(customer_days(orders)))
+    return running.filter(F.col("buyers") > 0).select(
+        "snapshot_date", "total_customers", "active_customers", _repeat_rate()
     )
 
 
 def kpi_snapshots(orders: DataFrame) -> DataFrame:
-    """One row per purchase day with revenue and customer measures."""
-    joined = revenue_daily(orders).join(customer_kpis(orders), "snapshot_date", "left")
-    return joined.select(
+    """One row per purchase day with revenue and customer measures.
+
+    Revenue travels along with the customer events, so the orders are read and
+    shuffled once.  On a day without any known buyer the customer measures are
+    zero.
+    """
+    running = running_customers(daily_events(customer_days(orders)))
+    has_buyers = F.col("buyers") > 0
+    mean = F.try_divide("revenue", "orders")
+    return running.select(
         "snapshot_date",
-        "total_revenue",
-        "total_orders",
-        F.coalesce("total_customers", F.lit(0)).alias("total_customers"),
-        F.coalesce("active_customers", F.lit(0)).alias("active_customers"),
-        "avg_order_value",
-        F.coalesce("repeat_rate", F.lit(0).cast(RATE)).alias("repeat_rate"),
+        F.col("revenue").cast(MONEY_TOTAL).alias("total_revenue"),
+        F.col("orders").alias("total_orders"),
+        F.when(has_buyers, F.col("total_customers")).otherwise(0).alias("total_customers"),
+        F.when(has_buyers, F.col("active_customers")).otherwise(0).alias("active_customers"),
+        mean.cast(MONEY_TOTAL).alias("avg_order_value"),
+        F.when(has_buyers, _repeat_rate()).otherwise(F.lit(0).cast(RATE)).alias("repeat_rate"),
     )
 
 

@@ -224,12 +224,12 @@ def _standardized(s: Sample) -> DataFrame:
 
 def _upsert_inputs(s: Sample) -> tuple[DataFrame, DataFrame]:
     """Product prices by the catalogue, and what the lines of open orders say."""
-    prices = s.spark.read.parquet(f"{s.folder}/part.parquet").select(
+    prices = sample.read_table(s.spark, s.folder, "part").select(
         F.col("p_partkey").alias("product_id"),
         F.col("p_size").alias("size"),
         F.col("p_retailprice").cast("decimal(12,2)").alias("price"),
     )
-    seen = s.spark.read.parquet(f"{s.folder}/lineitem.parquet").filter("l_linestatus = 'O'")
+    seen = sample.read_table(s.spark, s.folder, "lineitem").filter("l_linestatus = 'O'")
     updates = seen.groupBy((F.col("l_partkey") * 2).alias("product_id")).agg(
         F.max("l_linenumber").alias("size"),
         F.max(F.col("l_extendedprice").cast("decimal(12,2)")).alias("price"),
@@ -255,7 +255,7 @@ def _forecast_upsert(s: Sample) -> DataFrame:
 
 
 def _nan_to_null(s: Sample) -> DataFrame:
-    events = s.spark.read.parquet(f"{s.folder}/events.parquet")
+    events = sample.read_table(s.spark, s.folder, "events")
     broken = F.when(F.col("event_type") == "error", F.lit(float("nan"))).otherwise(F.col("value"))
     return merge.nan_to_null(events.select("event_id", broken.alias("value")))
 

@@ -8,9 +8,10 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 MONEY = "decimal(12,2)"
-TEXT_TIMESTAMP = "yyyy-MM-dd HH:mm:ss"
+TEXT_LENGTH = len("yyyy-MM-dd HH:mm:ss")
 
 # Stand-ins for the model log derived from events.
 RUN_LOG_METRICS = (
@@ -23,12 +24,20 @@ RUN_LOG_METRICS = (
 )
 
 
-def _read(spark: SparkSession, folder: str, table: str) -> DataFrame:
-    return spark.read.parquet(f"{folder}/{table}.parquet")
+_SCHEMAS: dict[str, StructType] = {}
+
+
+def read_table(spark: SparkSession, folder: str, table: str) -> DataFrame:
+    """Scan a sample table; its footer is read for the schema once per process."""
+    path = f"{folder}/{table}.parquet"
+    if path not in _SCHEMAS:
+        _SCHEMAS[path] = spark.read.parquet(path).schema
+    return spark.read.schema(_SCHEMAS[path]).parquet(path)
 
 
 def _as_text(timestamp: Column) -> Column:
-    return F.date_format(timestamp, TEXT_TIMESTAMP)
+    """Text to the second."""
+    return F.substring(timestamp.cast("string"), 1, TEXT_LENGTH)
 
 
 def _days_later(name: str, days: int) -> Column:
@@ -47,7 +56,7 @@ def raw_orders(spark: SparkSession, folder: str) -> DataFrame:
     untidy = F.when(key % 2 == 0, F.concat(F.lit(" "), F.upper(status))).otherwise(status)
     minutes = (key * 7 % 1440).cast("int")
     bought = F.col("o_orderdate") + F.make_dt_interval(F.lit(0), F.lit(0), minutes)
-    return _read(spark, folder, "orders").select(
+    return read_table(spark, folder, "orders").select(
         key.alias("order_id"),
         key.alias("customer_id"),
         F.when(key % 97 != 0, untidy).alias("order_status"),
@@ -60,16 +69,16 @@ def raw_orders(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def _places(spark: SparkSession, folder: str) -> DataFrame:
-    nation = _read(spark, folder, "nation")
-    region = _read(spark, folder, "region")
+    nation = read_table(spark, folder, "nation")
+    region = read_table(spark, folder, "region")
     return nation.join(region, nation.n_regionkey == region.r_regionkey).select(
         "n_nationkey", "n_name", "r_name"
     )
 
 
 def raw_customers(spark: SparkSession, folder: str) -> DataFrame:
-    orders = _read(spark, folder, "orders").select("o_orderkey", "o_custkey")
-    people = _read(spark, folder, "customer").select("c_custkey", "c_nationkey")
+    orders = read_table(spark, folder, "orders").select("o_orderkey", "o_custkey")
+    people = read_table(spark, folder, "customer").select("c_custkey", "c_nationkey")
     places = _places(spark, folder)
     homes = people.join(places, people.c_nationkey == places.n_nationkey)
     return orders.join(homes, orders.o_custkey == homes.c_custkey).select(
@@ -82,7 +91,7 @@ def raw_customers(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def raw_sellers(spark: SparkSession, folder: str) -> DataFrame:
-    suppliers = _read(spark, folder, "supplier")
+    suppliers = read_table(spark, folder, "supplier")
     places = _places(spark, folder)
     return suppliers.join(places, suppliers.s_nationkey == places.n_nationkey).select(
         F.col("s_suppkey").alias("seller_id"),
@@ -94,7 +103,7 @@ def raw_sellers(spark: SparkSession, folder: str) -> DataFrame:
 
 def raw_products(spark: SparkSession, folder: str) -> DataFrame:
     unknown = F.lit(None).cast("int")
-    return _read(spark, folder, "part").select(
+    return read_table(spark, folder, "part").select(
         F.col("p_partkey").alias("product_id"),
         F.when(F.col("p_size") != 50, F.concat(F.lit(" "), F.col("p_type"))).alias(
             "product_category_name"
@@ -112,7 +121,7 @@ def raw_products(spark: SparkSession, folder: str) -> DataFrame:
 def raw_categories(spark: SparkSession, folder: str) -> DataFrame:
     name = F.lower("p_type")
     return (
-        _read(spark, folder, "part")
+        read_table(spark, folder, "part")
         .select(name.alias("product_category_name"))
         .filter(F.col("product_category_name") != "economy")
         .distinct()
@@ -124,7 +133,7 @@ def raw_categories(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def raw_order_items(spark: SparkSession, folder: str) -> DataFrame:
-    return _read(spark, folder, "lineitem").select(
+    return read_table(spark, folder, "lineitem").select(
         F.col("l_orderkey").alias("order_id"),
         F.col("l_linenumber").alias("order_item_id"),
         F.col("l_partkey").alias("product_id"),
@@ -139,7 +148,7 @@ def raw_order_payments(spark: SparkSession, folder: str) -> DataFrame:
     flag = F.col("l_returnflag")
     paid = F.col("l_extendedprice").cast(MONEY) + F.col("l_quantity").cast(MONEY)
     return (
-        _read(spark, folder, "lineitem")
+        read_table(spark, folder, "lineitem")
         .groupBy("l_orderkey", "l_returnflag")
         .agg(F.sum(paid).alias("paid"), F.max("l_linenumber").alias("payment_installments"))
         .select(
@@ -159,7 +168,7 @@ def raw_order_payments(spark: SparkSession, folder: str) -> DataFrame:
 def raw_order_reviews(spark: SparkSession, folder: str) -> DataFrame:
     absent = F.lit(None).cast("string")
     score = F.get_json_object("props", "$.k").cast("int") % 6
-    return _read(spark, folder, "events").select(
+    return read_table(spark, folder, "events").select(
         F.col("event_id").alias("review_id"),
         (F.floor(F.col("event_id") / 2) * 3).alias("order_id"),
         score.alias("review_score"),
@@ -191,7 +200,7 @@ def model_run_log(spark: SparkSession, folder: str) -> DataFrame:
     slot = (F.col("event_id") % len(RUN_LOG_METRICS)).cast("int")
     names = F.array(*[F.lit(model) for model, _ in RUN_LOG_METRICS])
     metrics = F.array(*[F.lit(metric) for _, metric in RUN_LOG_METRICS])
-    return _read(spark, folder, "events").select(
+    return read_table(spark, folder, "events").select(
         F.get(names, slot).alias("model_name"),
         F.get(metrics, slot).alias("metric_name"),
         (F.col("value") / 100.0).alias("metric_value"),
@@ -207,7 +216,7 @@ def daily_forecasts(spark: SparkSession, folder: str) -> DataFrame:
     predicted = F.col("predicted_revenue")
     bounded = F.dayofyear("forecast_date") % 5 != 0
     return (
-        _read(spark, folder, "orders")
+        read_table(spark, folder, "orders")
         .groupBy(day.alias("forecast_date"))
         .agg(F.sum(F.col("o_totalprice").cast(MONEY)).alias("predicted_revenue"))
         .select(
