@@ -218,7 +218,8 @@ def run_forecast(
     The band is 1.96 population standard deviations of the refit's residuals,
     per series, and never below zero.
     """
-    filled = fill_gaps(daily)
+    # One row per series and day from here on, read by several jobs.
+    filled = cut_lineage(fill_gaps(daily))
     marked = mark_holdout(forecast_features(filled), holdout_days)
     vectors = _assembler().transform(marked).persist(StorageLevel.MEMORY_AND_DISK)
     try:

@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tallyloom.models.indexing import dense_index
-from tallyloom.session import ensure_checkpoint_dir
+from tallyloom.session import cut_lineage
 
 USER, ITEM = "customer_unique_id", "product_id"
 
@@ -96,10 +96,16 @@ def precision_at_k(recommended: DataFrame, holdout: DataFrame, k: int) -> DataFr
 def fit_recommender(
     bought: DataFrame, settings: AlsSettings = AlsSettings(), evaluate: bool = True
 ) -> Recommender:
-    users = dense_index(bought, USER, "user_idx")
-    items = dense_index(bought, ITEM, "item_idx")
+    """Index, split, train and evaluate.
+
+    Interactions and both indexes are read several times, in training and later
+    in decoding, so they are written to the checkpoint folder once.
+    """
+    known = cut_lineage(bought)
+    users = cut_lineage(dense_index(known, USER, "user_idx"))
+    items = cut_lineage(dense_index(known, ITEM, "item_idx"))
     indexed = (
-        split_interactions(bought, settings)
+        split_interactions(known, settings)
         .join(users, USER)
         .join(items, ITEM)
         .persist(StorageLevel.MEMORY_AND_DISK)
@@ -107,8 +113,6 @@ def fit_recommender(
     try:
         if indexed.isEmpty():
             raise ValueError("no interactions to train on")
-        # With a checkpoint folder set, training cuts its own growing lineage.
-        ensure_checkpoint_dir(bought.sparkSession)
         model = ALS(
             userCol="user_idx",
             itemCol="item_idx",

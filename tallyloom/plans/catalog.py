@@ -17,7 +17,7 @@ from tallyloom.models import forecast, recommend, segments
 from tallyloom.operators import facts, kpi, merge, metrics, rfm
 from tallyloom.operators.tables import RetailTables
 from tallyloom.plans import dashboard, views
-from tallyloom.session import apply_runtime_defaults
+from tallyloom.session import apply_runtime_defaults, cut_lineage
 from tallyloom.sources import sample
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -150,9 +150,13 @@ class Sample:
 
     # Fitted models.
 
+    def fitted_clusters(self) -> tuple[DataFrame, DataFrame]:
+        """Features, written once for the many passes over them, and their segments."""
+        features = cut_lineage(self.features())
+        return features, segments.assign_segments(segments.fit_segments(features), features)
+
     def fitted_segments(self) -> DataFrame:
-        features = self.features()
-        return segments.assign_segments(segments.fit_segments(features), features)
+        return self.fitted_clusters()[1]
 
     def fitted_recommender(self, evaluate: bool = False) -> recommend.Recommender:
         return recommend.fit_recommender(self.interactions(), evaluate=evaluate)
@@ -302,9 +306,7 @@ def _filtered_trend(s: Sample) -> DataFrame:
 
 
 def _fitted_clusters(s: Sample) -> DataFrame:
-    features = s.features()
-    fitted = segments.assign_segments(segments.fit_segments(features), features)
-    return views.customer_clusters(features, fitted)
+    return views.customer_clusters(*s.fitted_clusters())
 
 
 def _recommendations(s: Sample) -> DataFrame:

@@ -8,7 +8,10 @@ import pytest
 
 import __spark_entry__ as entry
 from tallyloom.models.indexing import dense_index
-from tallyloom.plans.catalog import BUILDERS, MODEL_QUERIES, all_queries
+from tallyloom.operators.facts import master_facts, orders_from_lines, sold_lines
+from tallyloom.operators.kpi import kpi_snapshots
+from tallyloom.plans.catalog import BUILDERS, MODEL_QUERIES, Sample, all_queries
+from tallyloom.sinks.tables import write_parquet
 
 
 def plan_of(df):
@@ -45,26 +48,20 @@ def test_scans_are_pruned(spark, sample_folder):
 
 
 def test_filters_reach_the_fact_table_scan(spark, tmp_path):
-    from tallyloom.operators.facts import master_facts, sold_lines
-    from tallyloom.operators.kpi import kpi_snapshots
-    from tallyloom.operators.facts import orders_from_lines
-    from tallyloom.plans.catalog import Sample
-    from tallyloom.sinks.tables import write_parquet
-
     tables = Sample(spark, "/root/testdata/sf0.001").tables
     master = write_parquet(master_facts(tables), str(tmp_path / "m"), partition_by=["purchase_month"])
     plan = plan_of(kpi_snapshots(orders_from_lines(sold_lines(master))))
     scan = plan[plan.index("FileScan parquet") :]
-    assert "EqualTo(is_canceled,false)" in scan
-    schema = re.search(r"ReadSchema: struct<(.*)>", scan).group(1)
-    read = {column.split(":")[0] for column in schema.split(",") if ":" in column}
-    assert read == {
+    assert "PushedFilters: [IsNotNull(is_canceled), Not(EqualTo(is_canceled,true))" in scan
+    columns = re.search(r"FileScan parquet \[([^\]]*)\]", scan).group(1)
+    assert {column.split("#")[0] for column in columns.split(",")} == {
         "order_id",
         "customer_unique_id",
         "order_purchase_timestamp",
         "item_revenue",
         "purchase_date",
         "is_canceled",
+        "purchase_month",
     }
 
 
