@@ -14,6 +14,7 @@ from tallyloom.models.indexing import dense_index
 from tallyloom.session import cut_lineage
 
 USER, ITEM = "customer_unique_id", "product_id"
+DEFAULT_BLOCKS = 10
 
 
 @dataclass(frozen=True)
@@ -27,6 +28,8 @@ class AlsSettings:
     top_k: int = 10
     train_percent: int = 90
     min_interactions: int = 2
+    # Blocks of users and of items; by default one per core and at least ten.
+    blocks: int | None = None
 
 
 @dataclass(frozen=True)
@@ -113,6 +116,7 @@ def fit_recommender(
     try:
         if indexed.isEmpty():
             raise ValueError("no interactions to train on")
+        cores = bought.sparkSession.sparkContext.defaultParallelism
         model = ALS(
             userCol="user_idx",
             itemCol="item_idx",
@@ -125,6 +129,8 @@ def fit_recommender(
             implicitPrefs=True,
             nonnegative=True,
             coldStartStrategy="drop",
+            numUserBlocks=settings.blocks or max(DEFAULT_BLOCKS, cores),
+            numItemBlocks=settings.blocks or max(DEFAULT_BLOCKS, cores),
         ).fit(indexed.filter(F.col("part") == "train"))
         fitted = Recommender(model, users, items, settings, float("nan"), 0.0)
         if not evaluate:

@@ -82,6 +82,31 @@ def reviews_per_order(reviews: DataFrame) -> DataFrame:
     )
 
 
+def payments_and_reviews(payments: DataFrame, reviews: DataFrame) -> DataFrame:
+    """Both order aggregates in one shuffle instead of two and a join.
+
+    Review rows carry no payment and payment rows no review, and every
+    aggregate skips what is missing.  The order of preference puts a missing
+    payment last.
+    """
+    paid = payments.select(
+        "order_id", "payment_value", "payment_installments", "payment_type", "payment_sequential"
+    )
+    rated = reviews.select("order_id", "review_id", "review_score")
+    preference = F.struct("payment_value", -F.col("payment_sequential"))
+    return (
+        paid.unionByName(rated, allowMissingColumns=True)
+        .groupBy("order_id")
+        .agg(
+            F.sum("payment_value").alias("order_total_paid"),
+            F.max("payment_installments").alias("payment_installments_max"),
+            F.max_by("payment_type", preference).alias("payment_type_dominant"),
+            F.avg("review_score").alias("review_score_avg"),
+            F.nullif(F.count("review_id"), F.lit(0)).alias("review_count"),
+        )
+    )
+
+
 def enrich_products(products: DataFrame, categories: DataFrame) -> DataFrame:
     """Category label: English name, else the raw name, else ``unknown``."""
     name = "product_category_name"
@@ -112,10 +137,8 @@ def _order_measures(df: DataFrame) -> DataFrame:
 
 def master_facts(tables: RetailTables) -> DataFrame:
     """All dimensions on every order line; nothing is dropped for a missing match."""
-    order_side = (
-        order_headers(tables.orders, tables.customers)
-        .join(payments_per_order(tables.order_payments), "order_id", "full")
-        .join(reviews_per_order(tables.order_reviews), "order_id", "full")
+    order_side = order_headers(tables.orders, tables.customers).join(
+        payments_and_reviews(tables.order_payments, tables.order_reviews), "order_id", "full"
     )
     sellers = tables.sellers.select("seller_id", "seller_city", "seller_state")
     joined = (

@@ -309,6 +309,12 @@ def _fitted_clusters(s: Sample) -> DataFrame:
     return views.customer_clusters(*s.fitted_clusters())
 
 
+def _forecast_by_category(s: Sample) -> DataFrame:
+    lines = facts.sales_lines(s.tables, products=True)
+    daily = forecast.daily_series(lines, series=F.col("category"))
+    return forecast.run_forecast(daily, kind="linreg").forecasts
+
+
 def _recommendations(s: Sample) -> DataFrame:
     return recommend.recommend_all(s.fitted_recommender())
 
@@ -430,6 +436,7 @@ BUILDERS: dict[str, Callable[[Sample], DataFrame]] = {
     ),
     "precision_at_k": _als_quality,
     "sales_forecast": lambda s: s.forecast_run("linreg").forecasts,
+    "sales_forecast_by_category": _forecast_by_category,
     "sales_forecast_forest": lambda s: s.forecast_run("randomforest").forecasts,
     "forecast_summary": lambda s: dashboard.forecast_summary(s.forecast_run("linreg").forecasts),
 }
@@ -446,6 +453,7 @@ MODEL_QUERIES = frozenset(
         "recommendation_tabs",
         "precision_at_k",
         "sales_forecast",
+        "sales_forecast_by_category",
         "sales_forecast_forest",
         "forecast_summary",
     }

@@ -22,15 +22,10 @@ RELATIONAL = sorted(set(BUILDERS) - MODEL_QUERIES)
 
 
 @pytest.mark.parametrize("name", RELATIONAL)
-def test_no_query_joins_every_row_with_every_row(name, spark, sample_folder):
+def test_no_pairwise_join_and_no_python_worker(name, spark, sample_folder):
     plan = plan_of(all_queries()[name](spark, sample_folder))
     assert "NestedLoopJoin" not in plan
     assert "CartesianProduct" not in plan
-
-
-@pytest.mark.parametrize("name", RELATIONAL)
-def test_no_query_leaves_the_jvm(name, spark, sample_folder):
-    plan = plan_of(all_queries()[name](spark, sample_folder))
     assert not re.search(r"Python|Pandas|Arrow", plan)
 
 
