@@ -44,6 +44,8 @@ QUERIES: dict[str, tuple[tuple[str, ...], str]] = {
         f"SELECT * REPLACE ({_doubles('payment_value')}) FROM c_payments",
     ),
     "clean_order_reviews": (("c_reviews",), "SELECT * FROM c_reviews"),
+    "reviews_from_csv": (("c_reviews",), "SELECT * FROM c_reviews"),
+    "snapshots_from_fact_table": (("snaps",), "SELECT * FROM snaps"),
     "categories_augmented": (("all_categories",), "SELECT * FROM all_categories"),
     "payments_per_order": (
         ("pay",),

@@ -6,6 +6,7 @@ zone, and without the stamps of the run.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 from functools import partial
 
@@ -15,10 +16,13 @@ from pyspark.sql import functions as F
 from tallyloom.functions.dates import latest, within_dates, within_preset
 from tallyloom.models import forecast, recommend, segments
 from tallyloom.operators import facts, kpi, merge, metrics, rfm
+from tallyloom.operators.clean import clean_categories, clean_order_reviews
 from tallyloom.operators.tables import RetailTables
 from tallyloom.plans import dashboard, views
-from tallyloom.session import apply_runtime_defaults, cut_lineage
+from tallyloom.session import apply_runtime_defaults, cut_lineage, ensure_checkpoint_dir
+from tallyloom.sinks.tables import write_parquet
 from tallyloom.sources import sample
+from tallyloom.sources.files import scan_csv
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -170,8 +174,6 @@ def _cleaned(name: str) -> Callable[[Sample], DataFrame]:
 
 
 def _categories_cleaned(s: Sample) -> DataFrame:
-    from tallyloom.operators.clean import clean_categories
-
     return clean_categories(sample.raw_categories(s.spark, s.folder))
 
 
@@ -305,6 +307,29 @@ def _filtered_trend(s: Sample) -> DataFrame:
     return dashboard.trend_filtered(lines, category="Promo Goods", state="ASIA")
 
 
+def _fresh_folder(s: Sample, name: str) -> str:
+    """A new folder in the shared checkpoint folder, so runs never meet."""
+    return f"{ensure_checkpoint_dir(s.spark)}/{name}-{uuid.uuid4().hex}"
+
+
+def _reviews_from_csv(s: Sample) -> DataFrame:
+    """Raw reviews landed as CSV files, scanned back and cleaned."""
+    raw = sample.raw_order_reviews(s.spark, s.folder)
+    folder = _fresh_folder(s, "reviews-csv")
+    raw.write.options(header=True, escape='"').csv(folder)
+    return clean_order_reviews(scan_csv(s.spark, folder, raw.schema, multi_line=True))
+
+
+def _snapshots_from_fact_table(s: Sample) -> DataFrame:
+    """KPI snapshots read from a fact table written by month."""
+    master = write_parquet(
+        facts.master_facts(s.tables),
+        _fresh_folder(s, "master-facts"),
+        partition_by=["purchase_month"],
+    )
+    return kpi.kpi_snapshots(facts.orders_from_lines(facts.sold_lines(master)))
+
+
 def _fitted_clusters(s: Sample) -> DataFrame:
     return views.customer_clusters(*s.fitted_clusters())
 
@@ -330,7 +355,9 @@ BUILDERS: dict[str, Callable[[Sample], DataFrame]] = {
     "clean_order_payments": _cleaned("order_payments"),
     "clean_order_reviews": _cleaned("order_reviews"),
     "categories_augmented": _cleaned("categories"),
+    "reviews_from_csv": _reviews_from_csv,
     # facts
+    "snapshots_from_fact_table": _snapshots_from_fact_table,
     "payments_per_order": lambda s: facts.payments_per_order(s.tables.order_payments),
     "reviews_per_order": lambda s: facts.reviews_per_order(s.tables.order_reviews),
     "products_enriched": _enriched,

@@ -263,8 +263,13 @@ def channel_count(channels: DataFrame) -> DataFrame:
     return channels.agg(F.count_distinct("channel").alias("channels"))
 
 
-def category_rows(categories: DataFrame, limit: int = 12, search: str = "") -> DataFrame:
-    """Top categories with score-based margin stand-in, band and relative intensity."""
+def category_rows(
+    categories: DataFrame, limit: int = 12, category: str = "All", search: str = ""
+) -> DataFrame:
+    """Top categories with score-based margin stand-in, band and relative intensity.
+
+    Choice and search see the fetched rows only.
+    """
     top = categories.orderBy(F.col("revenue").desc(), "category").limit(limit)
     score = F.col("avg_review_score")
     # At most ``limit`` rows reach this window.
@@ -279,7 +284,9 @@ def category_rows(categories: DataFrame, limit: int = 12, search: str = "") -> D
         rules.quality_band(score).alias("quality_band"),
         (F.col("revenue").cast("double") / highest).alias("intensity"),
     )
-    return rows.filter(contains_any(["category"], search))
+    return rows.filter(
+        equals_unless_all("category", category) & contains_any(["category"], search)
+    )
 
 
 def spending_top(categories: DataFrame, limit: int = 6) -> DataFrame:
