@@ -27,6 +27,16 @@ def _keep_or_take(column: str) -> str:
     return f"CASE WHEN u.product_id IS NOT NULL THEN u.{column} ELSE t.{column} END"
 
 
+CARDS = """
+SELECT 'revenue' AS key, 'Total Revenue' AS label, total_revenue AS value,
+  coalesce(revenue_delta * 100.0, 0) AS change FROM summary
+UNION ALL SELECT 'orders', 'Total Orders', CAST(total_orders AS DOUBLE),
+  coalesce(orders_delta * 100.0, 0) FROM summary
+UNION ALL SELECT 'aov', 'Avg Order Value', avg_order_value,
+  coalesce(aov_delta * 100.0, 0) FROM summary
+UNION ALL SELECT 'active', 'Active Customers', CAST(active_customers AS DOUBLE),
+  coalesce(active_customers_delta * 100.0, 0) FROM summary"""
+
 JS_ROUND = "CAST(floor({0} + 0.5) AS BIGINT)"
 
 QUERIES: dict[str, tuple[tuple[str, ...], str]] = {
@@ -73,17 +83,25 @@ QUERIES: dict[str, tuple[tuple[str, ...], str]] = {
     "kpi_snapshots": (("snaps",), "SELECT * FROM snaps"),
     "kpi_deltas": (("deltas",), "SELECT * FROM deltas"),
     "kpi_summary": (("summary",), "SELECT * FROM summary"),
-    "kpi_cards": (
-        ("summary",),
+    "kpi_cards": (("summary",), CARDS),
+    "period_cards_all_time": (("summary",), CARDS),
+    "period_cards": (
+        ("paid", "last12"),
         """
-SELECT 'revenue' AS key, 'Total Revenue' AS label, total_revenue AS value,
-  coalesce(revenue_delta * 100.0, 0) AS change FROM summary
-UNION ALL SELECT 'orders', 'Total Orders', CAST(total_orders AS DOUBLE),
-  coalesce(orders_delta * 100.0, 0) FROM summary
-UNION ALL SELECT 'aov', 'Avg Order Value', avg_order_value,
-  coalesce(aov_delta * 100.0, 0) FROM summary
-UNION ALL SELECT 'active', 'Active Customers', CAST(active_customers AS DOUBLE),
-  coalesce(active_customers_delta * 100.0, 0) FROM summary""",
+SELECT key, label, value, CAST(0.0 AS DOUBLE) AS change FROM (
+  SELECT 'revenue' AS key, 'Total Revenue' AS label, revenue AS value FROM totals
+  UNION ALL SELECT 'orders', 'Total Orders', CAST(orders AS DOUBLE) FROM totals
+  UNION ALL SELECT 'aov', 'Avg Order Value', revenue / orders FROM totals
+  UNION ALL SELECT 'active', 'Active Customers', CAST(customers AS DOUBLE) FROM totals
+) cards
+""".replace(
+            "totals",
+            """(SELECT
+    CAST((SELECT sum(paid) FROM paid WHERE date_trunc('month', day) IN
+      (SELECT month FROM last12)) AS DOUBLE) AS revenue,
+    (SELECT sum(order_count) FROM last12) AS orders,
+    (SELECT max(customer_count) FROM last12) AS customers)""",
+        ),
     ),
     "product_metrics": (("pm",), "SELECT * FROM pm"),
     "category_metrics": (("cm",), "SELECT * FROM cm"),

@@ -282,12 +282,19 @@ def _als_quality(s: Sample) -> DataFrame:
 
 
 def _workbench(s: Sample) -> DataFrame:
-    return dashboard.workbench_kpis(
-        s.monthly(),
+    totals = dashboard.workbench_kpis(
         s.monthly_with_forecast(),
         views.segment_distribution(s.segments_by_rule()),
+        kpi.kpi_summary(s.snapshots()),
         "Last 6 Months",
     )
+    return totals.withColumns({c: F.round(c, 2) for c in ("revenue", "predicted_revenue")})
+
+
+def _period_cards(range_name: str) -> Callable[[Sample], DataFrame]:
+    return lambda s: dashboard.period_cards(
+        s.monthly(), kpi.kpi_summary(s.snapshots()), range_name
+    )
 
 
 def _scaled_trend(s: Sample) -> DataFrame:
@@ -393,6 +400,8 @@ BUILDERS: dict[str, Callable[[Sample], DataFrame]] = {
     "monthly_actuals": lambda s: dashboard.monthly_actuals(s.monthly()),
     "monthly_with_forecast": Sample.monthly_with_forecast,
     "period_kpis": lambda s: dashboard.period_totals(s.monthly(), "Last 3 Months"),
+    "period_cards": _period_cards("Last 12 Months"),
+    "period_cards_all_time": _period_cards("All Time"),
     "workbench_kpis": _workbench,
     "historical_estimate": lambda s: dashboard.historical_estimate(s.monthly(), "Last 6 Months"),
     "trend_scaled_proxy": _scaled_trend,

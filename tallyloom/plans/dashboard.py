@@ -28,23 +28,26 @@ WEEKDAYS = ("Mon", "Tue", "Wed", "Thu", "Fri", "Sat", "Sun")
 
 
 def trailing(df: DataFrame, column: str, rows: int | None) -> DataFrame:
-    """The last rows of a series; no count keeps all of it."""
+    """The last rows of a series in ascending order; no count keeps all of it."""
     if rows is None:
         return df
-    return df.orderBy(F.col(column).desc()).limit(rows)
+    return df.orderBy(F.col(column).desc()).limit(rows).orderBy(column)
 
 
 # ---------------------------------------------------------------- KPI cards
 
 
+# Key, title, summary column and change column of the four cards.
+CARDS = (
+    ("revenue", "Total Revenue", "total_revenue", "revenue_delta"),
+    ("orders", "Total Orders", "total_orders", "orders_delta"),
+    ("aov", "Avg Order Value", "avg_order_value", "aov_delta"),
+    ("active", "Active Customers", "active_customers", "active_customers_delta"),
+)
+
+
 def kpi_cards(summary: DataFrame) -> DataFrame:
     """The summary row as four cards with the change in percent."""
-    cards = (
-        ("revenue", "Total Revenue", "total_revenue", "revenue_delta"),
-        ("orders", "Total Orders", "total_orders", "orders_delta"),
-        ("aov", "Avg Order Value", "avg_order_value", "aov_delta"),
-        ("active", "Active Customers", "active_customers", "active_customers_delta"),
-    )
     rows = [
         F.struct(
             F.lit(key).alias("key"),
@@ -52,11 +55,34 @@ def kpi_cards(summary: DataFrame) -> DataFrame:
             F.coalesce(F.col(value).cast("double"), F.lit(0.0)).alias("value"),
             F.coalesce(F.col(delta) * 100.0, F.lit(0.0)).alias("change"),
         )
-        for key, label, value, delta in cards
+        for key, label, value, delta in CARDS
     ]
     return summary.select(F.inline(F.array(*rows)))
 
 
+def period_cards(monthly: DataFrame, summary: DataFrame, range_name: str) -> DataFrame:
+    """The cards for a period: its totals without a change.
+
+    All time, and a period without any month, show the summary.
+    """
+    base = kpi_cards(summary)
+    if preset(range_name).months is None:
+        return base
+    totals = period_totals(monthly, range_name).filter(F.col("revenue").isNotNull())
+    columns = {"revenue": "revenue", "orders": "orders", "aov": "aov", "active": "customers"}
+    values = [
+        F.struct(F.lit(key).alias("key"), F.col(column).cast("double").alias("total"))
+        for key, column in columns.items()
+    ]
+    of_period = totals.select(F.inline(F.array(*values)))
+    return base.join(of_period, "key", "left").select(
+        "key",
+        "label",
+        F.coalesce("total", "value").alias("value"),
+        F.when(F.col("total").isNull(), F.col("change")).otherwise(F.lit(0.0)).alias("change"),
+    )
+
+
 def period_totals(monthly: DataFrame, range_name: str) -> DataFrame:
     """Revenue, orders, mean order value and peak monthly customers of a period."""
     window = trailing(monthly, "month", preset(range_name).months)
@@ -70,25 +96,44 @@ def period_totals(monthly: DataFrame, range_name: str) -> DataFrame:
 
 
 def workbench_kpis(
-    monthly: DataFrame, with_forecast: DataFrame, segments: DataFrame, range_name: str
+    trend: DataFrame, segments: DataFrame, summary: DataFrame, range_name: str
 ) -> DataFrame:
-    """Period totals plus at-risk customers and the last three predicted months."""
+    """Totals of the shown trend, at-risk customers, and the last three predictions.
+
+    ``trend`` is the monthly trend with forecast, scaled or not.  All time, and
+    a period without any month, show the summary instead of totals.
+    """
     months = preset(range_name).months
-    shown = trailing(with_forecast, "month", months)
-    predicted = (
-        trailing(shown, "month", 3).agg(F.sum("predicted").cast("double").alias("p")).scalar()
-    )
+    shown = trailing(trend, "month", months)
+    predicted = trailing(shown, "month", 3).agg(F.sum("predicted").alias("p")).scalar()
     at_risk = (
         segments.filter(F.lower("segment_label").contains("risk"))
         .agg(F.sum("customer_count").alias("n"))
         .scalar()
     )
-    return period_totals(monthly, range_name).select(
+    base = summary.select(
+        F.col("total_revenue").cast("double").alias("revenue"),
+        F.col("total_orders").alias("orders"),
+        F.col("active_customers").alias("customers"),
+    )
+    kept = base
+    if months is not None:
+        totals = shown.agg(
+            F.sum("actual").alias("revenue"),
+            F.sum("order_count").alias("orders"),
+            F.max("customer_count").alias("customers"),
+        )
+        # The first of the two rows that has a revenue: the period, else the summary.
+        ranked = totals.withColumn("source", F.lit(0)).unionByName(
+            base.withColumn("source", F.lit(1))
+        )
+        kept = ranked.filter(F.col("revenue").isNotNull()).orderBy("source").limit(1)
+    return kept.select(
         "revenue",
         "orders",
         "customers",
         F.coalesce(at_risk, F.lit(0)).alias("at_risk_customers"),
-        predicted.alias("predicted_revenue"),
+        F.coalesce(predicted, F.lit(0.0)).alias("predicted_revenue"),
     )
 
 
@@ -99,7 +144,7 @@ def daily_bars(daily: DataFrame) -> DataFrame:
     """Last days with weekday label and a flag on every best day."""
     # At most seven rows reach this window.
     peak = F.max("revenue").over(Window.partitionBy())
-    return daily.select(
+    return daily.orderBy("day").select(
         F.col("day").alias("date"),
         weekday_label(F.col("day")).alias("day"),
         F.col("revenue").cast("double").alias("revenue"),
@@ -250,7 +295,7 @@ def activity_heatmap(orders: DataFrame, limit: int = HEATMAP_ORDERS) -> DataFram
 
 
 def channel_rows(channels: DataFrame, channel: str = "All Channels") -> DataFrame:
-    rows = channels.select(
+    rows = channels.orderBy(F.col("revenue").desc(), "channel").select(
         rules.channel_label(F.col("channel")).alias("channel"),
         F.col("revenue").cast("double").alias("value"),
         F.col("pct_of_total").alias("change"),
@@ -399,6 +444,7 @@ def _idle_days(as_of: Column) -> Column:
 
 def inventory_alerts(products: DataFrame, as_of: Column, limit: int | None = 5) -> DataFrame:
     """Slow and dead stock, best sellers first; idle days count to the data's last day."""
+    # The texts of both kinds of alert.
     gone = F.col("inventory_status") == "out_of_stock"
     idle = _idle_days(as_of)
     days = F.coalesce(idle.cast("string"), F.lit("many"))

@@ -32,6 +32,55 @@ def test_period_totals(monthly):
     assert empty["aov"] == 0.0
 
 
+@pytest.fixture(scope="module")
+def summary(spark):
+    return spark.createDataFrame(
+        [(7.0, 2, 5, 3.5, 0.5, None, 0.0, -0.1)],
+        "total_revenue double, total_orders bigint, active_customers bigint, avg_order_value double, "
+        "revenue_delta double, orders_delta double, active_customers_delta double, aov_delta double",
+    )
+
+
+def test_cards_of_a_period_and_their_fallback(monthly, summary):
+    cards = by_key(dashboard.period_cards(monthly, summary, "Last 3 Months"), "key")
+    assert {k: (c["value"], c["change"]) for k, c in cards.items()} == {
+        "revenue": (600.0, 0.0),
+        "orders": (6.0, 0.0),
+        "aov": (100.0, 0.0),
+        "active": (3.0, 0.0),
+    }
+    base = by_key(dashboard.kpi_cards(summary), "key")
+    assert base["revenue"]["change"] == 50.0 and base["orders"]["change"] == 0.0
+    assert by_key(dashboard.period_cards(monthly, summary, "All Time"), "key") == base
+    assert by_key(dashboard.period_cards(monthly.limit(0), summary, "Last 3 Months"), "key") == base
+
+
+def test_workbench(spark, monthly, summary):
+    trend = dashboard.monthly_actuals(monthly)
+    segments = spark.createDataFrame(
+        [("At Risk", 4), ("VIP", 9)], "segment_label string, customer_count bigint"
+    )
+    expected = {
+        "revenue": 500.0,
+        "orders": 5,
+        "customers": 3,
+        "at_risk_customers": 4,
+        "predicted_revenue": 500.0,
+    }
+    assert as_dicts(dashboard.workbench_kpis(trend, segments, summary, "Last 30 Days")) == [expected]
+    of_summary = {"revenue": 7.0, "orders": 2, "customers": 5}
+    (row,) = as_dicts(dashboard.workbench_kpis(trend, segments.limit(0), summary, "All Time"))
+    assert row == {**of_summary, "at_risk_customers": 0, "predicted_revenue": 600.0}
+    empty = trend.limit(0)
+    (row,) = as_dicts(dashboard.workbench_kpis(empty, segments, summary, "Last 30 Days"))
+    assert row == {**of_summary, "at_risk_customers": 4, "predicted_revenue": 0.0}
+
+
+def test_series_come_in_order(monthly):
+    months = [r.month for r in dashboard.monthly_actuals(monthly).collect()]
+    assert months == sorted(months)
+
+
 def test_forecast_replaces_only_its_months(spark, monthly):
     forecasts = spark.createDataFrame(
         [(dt.date(2018, 3, 5), 1.0), (dt.date(2018, 3, 6), 2.0), (dt.date(2018, 4, 1), 9.0)],
