@@ -351,6 +351,11 @@ def _recommendations(s: Sample) -> DataFrame:
     return recommend.recommend_all(s.fitted_recommender())
 
 
+def _shown_recommendations(s: Sample) -> DataFrame:
+    # The view reads them twice, for the latest run and for its rows.
+    return s.shown_recommendations(cut_lineage(_recommendations(s)))
+
+
 BUILDERS: dict[str, Callable[[Sample], DataFrame]] = {
     # cleaned tables
     "clean_categories": _categories_cleaned,
@@ -466,10 +471,8 @@ BUILDERS: dict[str, Callable[[Sample], DataFrame]] = {
     "customer_table": lambda s: dashboard.customer_rows(_fitted_clusters(s)),
     "cluster_scatter": lambda s: dashboard.cluster_scatter(_fitted_clusters(s)),
     "recommendations": _recommendations,
-    "top_recommendations": lambda s: s.shown_recommendations(_recommendations(s)),
-    "recommendation_tabs": lambda s: dashboard.recommendation_tabs(
-        s.shown_recommendations(_recommendations(s))
-    ),
+    "top_recommendations": _shown_recommendations,
+    "recommendation_tabs": lambda s: dashboard.recommendation_tabs(_shown_recommendations(s)),
     "precision_at_k": _als_quality,
     "sales_forecast": lambda s: s.forecast_run("linreg").forecasts,
     "sales_forecast_by_category": _forecast_by_category,
