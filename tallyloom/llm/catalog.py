@@ -8,6 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from tallyloom.llm.bpe import round_trip_digests
+from tallyloom.llm.kneser_ney import score, train
 from tallyloom.llm.packing import pack_documents
 from tallyloom.llm.shared import bounded_batches
 
@@ -18,6 +19,11 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return bounded_batches(spark).read.parquet(f"{folder}/{name}.parquet")
 
 
+def op1_kneser_ney(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents")
+    return score(docs, train(docs))
+
+
 def op5_best_fit_packing(spark: SparkSession, folder: str) -> DataFrame:
     return pack_documents(table(spark, folder, "documents"), public_tokenizers.path(VOCABULARY))
 
@@ -29,7 +35,7 @@ def op9_bpe_round_trip(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def llm_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    found = (op5_best_fit_packing, op9_bpe_round_trip)
+    found = (op1_kneser_ney, op5_best_fit_packing, op9_bpe_round_trip)
     return {f.__name__: f for f in found}
 
 
