@@ -8,6 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from tallyloom.llm.bpe import round_trip_digests
+from tallyloom.llm.jaccard_join import jaccard_components
 from tallyloom.llm.kneser_ney import score, train
 from tallyloom.llm.packing import pack_documents
 from tallyloom.llm.shared import bounded_batches
@@ -34,8 +35,12 @@ def op9_bpe_round_trip(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op10_jaccard_join(spark: SparkSession, folder: str) -> DataFrame:
+    return jaccard_components(table(spark, folder, "documents"))
+
+
 def llm_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    found = (op1_kneser_ney, op5_best_fit_packing, op9_bpe_round_trip)
+    found = (op1_kneser_ney, op5_best_fit_packing, op9_bpe_round_trip, op10_jaccard_join)
     return {f.__name__: f for f in found}
 
 
