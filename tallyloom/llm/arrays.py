@@ -77,24 +77,30 @@ def text_buffers(column: pa.Array | pa.ChunkedArray) -> tuple[np.ndarray, np.nda
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
 _LOWER_CODES = BYTE_CODES[_LOWER]
-_IS_SPACE = np.zeros(256, bool)
-_IS_SPACE[list(_SPACE_BYTES)] = True
-
-
-def word_hashes(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Hashes of the words of every row, A-Z lower-cased, and n + 1 offsets into them.
-
-    A word is a run of bytes other than space and U+0009 to U+000D.  Works in
-    pieces of about CHUNK_BYTES that end at white space or at a row's end.
+# Kinds of bytes: 0 separates tokens, runs of one other kind are tokens.
+WORDS = np.ones(256, np.uint8)
+WORDS[list(_SPACE_BYTES)] = 0
+WORDS_AND_MARKS = WORDS * np.uint8(2)
+for _byte in range(0x80):
+    if WORDS[_byte] and not chr(_byte).isalnum():
+        WORDS_AND_MARKS[_byte] = 1
+
+
+def word_hashes(
+    data: np.ndarray, offsets: np.ndarray, kinds: np.ndarray = WORDS
+) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes of the tokens of every row, A-Z lower-cased, and n + 1 offsets into them.
+
+    By default a token is a run of bytes other than space and U+0009 to U+000D.
+    Works in pieces of about CHUNK_BYTES that end at a token's end.
     """
-    n = len(data)
-    space = _IS_SPACE[data]
-    first = ~space
-    first[1:] &= space[:-1]
-    row_starts = offsets[:-1][offsets[:-1] < n]
-    first[row_starts] = ~space[row_starts]
-    last = ~space
-    last[:-1] &= space[1:] | first[1:]
+    kind = kinds[data]
+    first = kind > 0
+    last = first.copy()
+    first[1:] &= kind[1:] != kind[:-1]
+    row_starts = offsets[:-1][offsets[:-1] < len(data)]
+    first[row_starts] = kind[row_starts] > 0
+    last[:-1] &= (kind[1:] != kind[:-1]) | first[1:]
     starts = np.flatnonzero(first)
     ends = np.flatnonzero(last) + 1
     hashes = np.empty(len(starts), np.uint64)

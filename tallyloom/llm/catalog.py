@@ -8,6 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from tallyloom.llm.bpe import round_trip_digests
+from tallyloom.llm.importance import importance_sample
 from tallyloom.llm.jaccard_join import jaccard_components
 from tallyloom.llm.kneser_ney import score, train
 from tallyloom.llm.packing import pack_documents
@@ -25,6 +26,11 @@ def op1_kneser_ney(spark: SparkSession, folder: str) -> DataFrame:
     return score(docs, train(docs))
 
 
+def op3_importance_resampling(spark: SparkSession, folder: str) -> DataFrame:
+    docs, labels = (table(spark, folder, name) for name in ("documents", "labels"))
+    return importance_sample(docs, labels).where("kept").drop("kept")
+
+
 def op5_best_fit_packing(spark: SparkSession, folder: str) -> DataFrame:
     return pack_documents(table(spark, folder, "documents"), public_tokenizers.path(VOCABULARY))
 
@@ -40,7 +46,13 @@ def op10_jaccard_join(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def llm_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    found = (op1_kneser_ney, op5_best_fit_packing, op9_bpe_round_trip, op10_jaccard_join)
+    found = (
+        op1_kneser_ney,
+        op3_importance_resampling,
+        op5_best_fit_packing,
+        op9_bpe_round_trip,
+        op10_jaccard_join,
+    )
     return {f.__name__: f for f in found}
 
 
