@@ -6,11 +6,13 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from tallyloom.llm.bpe import round_trip_digests
 from tallyloom.llm.importance import importance_sample
 from tallyloom.llm.jaccard_join import jaccard_components
 from tallyloom.llm.kneser_ney import score, train
+from tallyloom.llm.language import identify, train_languages
 from tallyloom.llm.packing import pack_documents
 from tallyloom.llm.shared import bounded_batches
 
@@ -31,6 +33,18 @@ def op3_importance_resampling(spark: SparkSession, folder: str) -> DataFrame:
     return importance_sample(docs, labels).where("kept").drop("kept")
 
 
+def held_out_by_crc(modulus: int, remainder: int):
+    return F.crc32(F.col("doc_id").cast("string")) % modulus == remainder
+
+
+def op4_language_id(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents")
+    held_out = F.coalesce(held_out_by_crc(5, 0), F.lit(False))
+    models = train_languages(docs.where(~held_out))
+    rows = docs.select("doc_id", held_out.alias("held_out"), "text")
+    return identify(rows, models).drop("text")
+
+
 def op5_best_fit_packing(spark: SparkSession, folder: str) -> DataFrame:
     return pack_documents(table(spark, folder, "documents"), public_tokenizers.path(VOCABULARY))
 
@@ -49,6 +63,7 @@ def llm_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     found = (
         op1_kneser_ney,
         op3_importance_resampling,
+        op4_language_id,
         op5_best_fit_packing,
         op9_bpe_round_trip,
         op10_jaccard_join,
