@@ -97,7 +97,7 @@ def copy_keys(column: pa.Array) -> np.ndarray:
 
 
 def sliced_sums(texts: DataFrame, bits: int, values, kind: type) -> np.ndarray:
-    """Sums over all tasks of 2^bits numbers; `values` adds a column's numbers to an array."""
+    """Sums over all tasks of 2^bits numbers; `values` adds a batch's numbers to an array."""
     size = 1 << (bits - SLICE_BITS)
 
     def count(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -105,7 +105,7 @@ def sliced_sums(texts: DataFrame, bits: int, values, kind: type) -> np.ndarray:
         some = False
         for batch in batches:
             some = some or len(batch) > 0
-            values(batch.column(0), total)
+            values(batch, total)
         if some:
             parts = total.reshape(-1, size)
             used = [np.flatnonzero(part) for part in parts]
@@ -129,7 +129,10 @@ def sliced_sums(texts: DataFrame, bits: int, values, kind: type) -> np.ndarray:
             ["slice", "sums"],
         )
 
-    parts = texts.mapInArrow(count, "slice int, used binary, sums binary")
+    # Every task hands on one table, so partitions are read several to a task.
+    parts = texts.rdd.getNumPartitions()
+    tasks = min(parts, max(texts.sparkSession.sparkContext.defaultParallelism, parts // 8))
+    parts = texts.coalesce(max(tasks, 1)).mapInArrow(count, "slice int, used binary, sums binary")
     out = np.zeros((1 << SLICE_BITS, size), kind)
     for row in parts.groupBy("slice").applyInArrow(add, "slice int, sums binary").collect():
         out[row["slice"]] = np.frombuffer(row["sums"], kind)
@@ -139,27 +142,36 @@ def sliced_sums(texts: DataFrame, bits: int, values, kind: type) -> np.ndarray:
 def copy_sketch(texts: DataFrame) -> np.ndarray:
     """Numbers of documents by hashed copy key: a fixed size that only overestimates copies."""
 
-    def add(column: pa.Array, total: np.ndarray) -> None:
-        np.add.at(total, copy_keys(column) >> np.uint64(64 - COPY_BITS), np.uint32(1))
+    def add(batch: pa.RecordBatch, total: np.ndarray) -> None:
+        keys = copy_keys(batch.column(0))
+        np.add.at(total, keys >> np.uint64(64 - COPY_BITS), np.uint32(1))
 
     return sliced_sums(texts, COPY_BITS, add, np.uint32)
 
 
-def bucket_counts(texts: DataFrame, copies) -> tuple[np.ndarray, float]:
-    """Weighted documents that hold each bucket, and in all; of fixed size for any input."""
+def bucket_counts(rows: DataFrame, copies, target_ids) -> tuple[np.ndarray, np.ndarray, float, float]:
+    """Weighted documents that hold each bucket, among all and among the target, and their sums.
+
+    `rows` has the text and then the id; sizes are the same for any input.
+    """
     size = 2 << BUCKET_BITS
 
-    def add(column: pa.Array, total: np.ndarray) -> None:
-        keys = copy_keys(column)
+    def add(batch: pa.RecordBatch, total: np.ndarray) -> None:
+        keys = copy_keys(batch.column(0))
         weight = 1 / np.maximum(copies.value[keys >> np.uint64(64 - COPY_BITS)], 1)
-        for a, _, row, first, second in slice_features(column):
+        good = weight * np.isin(batch.column(1).fill_null(-1).to_numpy(), target_ids.value)
+        for a, b, row, first, second in slice_features(batch.column(0)):
+            hit = good[a + row] > 0
             for buckets in (first, second):
                 total[:size] += np.bincount(buckets, weight[a + row], minlength=size)
+                some = np.bincount(buckets[hit], good[a + row[hit]], minlength=size)
+                total[2 * size : 3 * size] += some
         total[size] += weight.sum()
+        total[3 * size] += good.sum()
 
-    # Twice the room: the upper half only holds the number of documents.
-    sums = sliced_sums(texts, BUCKET_BITS + 2, add, np.float32)
-    return sums[:size], float(sums[size])
+    # The second and fourth quarter only hold the numbers of documents.
+    sums = sliced_sums(rows, BUCKET_BITS + 3, add, np.float32)
+    return sums[:size], sums[2 * size : 3 * size], float(sums[size]), float(sums[3 * size])
 
 
 def log_ratios(target: np.ndarray, raw: np.ndarray, n_target: float, n_raw: float) -> np.ndarray:
@@ -251,6 +263,7 @@ def importance_sample(
     labels: DataFrame,
     doc_id: str = "doc_id",
     text: str = "text",
+    target_rows: int = 20_000,
     share: float | None = None,
     seed: int = 7,
     carry: tuple[str, ...] = (),
@@ -258,7 +271,8 @@ def importance_sample(
     """Every row with (doc_id, log_weight, probability, key, kept) and the `carry` columns.
 
     `labels` has doc_id, quality and toxic; target rows have quality 1 and toxic
-    0, other labelled rows serve to calibrate only.  `kept` marks the k rows with
+    0.  About `target_rows` of them, drawn by their ids' hash, fit the target
+    model; all labelled rows calibrate it.  `kept` marks the k rows with
     the largest key, log odds plus Gumbel noise; k is the expected number of
     target rows, or `share` of all rows.  A null or empty text has no n-grams
     and weight 0.  Noise depends on id and text, so equal rows go together;
@@ -276,12 +290,14 @@ def importance_sample(
         F.xxhash64(F.lit(seed), F.col(doc_id), F.col(text)).alias("draw"),
         F.col(text).alias("text"),
     )
-    texts = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"))
-    good_ids = label.where("good = 1").select(F.col("label_id").alias("doc_id"))
-    chosen = texts.join(good_ids, "doc_id", "left_semi")
-    copies = docs.sparkSession.sparkContext.broadcast(copy_sketch(texts.select("text")))
-    raw, n_raw = bucket_counts(texts.select("text"), copies)
-    target, n_target = bucket_counts(chosen.select("text"), copies)
+    texts = docs.select(F.col(text).alias("text"), F.col(doc_id).cast("long").alias("doc_id"))
+    share_drawn = F.pmod(F.xxhash64("label_id"), F.lit(1 << 30)) / (1 << 30)
+    many = label.where("good = 1").count()
+    drawn = label.where(F.col("good") == 1).where(share_drawn * max(many, 1) < target_rows)
+    ids = np.sort(drawn.select("label_id").toArrow().column(0).to_numpy().astype(np.int64))
+    context = docs.sparkSession.sparkContext
+    copies = context.broadcast(copy_sketch(texts.select("text")))
+    raw, target, n_raw, n_target = bucket_counts(texts, copies, context.broadcast(ids))
     scored = written(weighted(base, log_ratios(target, raw, n_target, n_raw)), "weights")
 
     most = WEIGHT_BINS * WEIGHT_STEP / 2
