@@ -8,7 +8,9 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tallyloom.llm.adaptive_scan import nearest
 from tallyloom.llm.bpe import round_trip_digests
+from tallyloom.llm.cover_tree import exact_top_k
 from tallyloom.llm.importance import importance_sample
 from tallyloom.llm.jaccard_join import jaccard_components
 from tallyloom.llm.kneser_ney import score, train
@@ -28,6 +30,11 @@ def op1_kneser_ney(spark: SparkSession, folder: str) -> DataFrame:
     return score(docs, train(docs))
 
 
+def op2_exact_top_k(spark: SparkSession, folder: str) -> DataFrame:
+    rows = table(spark, folder, "embeddings")
+    return exact_top_k(rows, rows.where("vec_id % 20 = 0"))
+
+
 def op3_importance_resampling(spark: SparkSession, folder: str) -> DataFrame:
     docs, labels = (table(spark, folder, name) for name in ("documents", "labels"))
     return importance_sample(docs, labels).where("kept").drop("kept")
@@ -49,6 +56,11 @@ def op5_best_fit_packing(spark: SparkSession, folder: str) -> DataFrame:
     return pack_documents(table(spark, folder, "documents"), public_tokenizers.path(VOCABULARY))
 
 
+def op7_adaptive_scan(spark: SparkSession, folder: str) -> DataFrame:
+    rows = table(spark, folder, "embeddings")
+    return nearest(rows, rows.where("vec_id % 20 = 0"))
+
+
 def op9_bpe_round_trip(spark: SparkSession, folder: str) -> DataFrame:
     return round_trip_digests(
         table(spark, folder, "documents"), public_tokenizers.path(VOCABULARY)
@@ -62,9 +74,11 @@ def op10_jaccard_join(spark: SparkSession, folder: str) -> DataFrame:
 def llm_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     found = (
         op1_kneser_ney,
+        op2_exact_top_k,
         op3_importance_resampling,
         op4_language_id,
         op5_best_fit_packing,
+        op7_adaptive_scan,
         op9_bpe_round_trip,
         op10_jaccard_join,
     )
