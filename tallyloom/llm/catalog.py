@@ -15,6 +15,7 @@ from tallyloom.llm.importance import importance_sample
 from tallyloom.llm.jaccard_join import jaccard_components
 from tallyloom.llm.kneser_ney import score, train
 from tallyloom.llm.language import identify, train_languages
+from tallyloom.llm.licenses import SPEAKS_OF_LICENCE, oracle, scan_licenses
 from tallyloom.llm.packing import pack_documents
 from tallyloom.llm.shared import bounded_batches
 
@@ -61,6 +62,30 @@ def op7_adaptive_scan(spark: SparkSession, folder: str) -> DataFrame:
     return nearest(rows, rows.where("vec_id % 20 = 0"))
 
 
+def as_files(docs: DataFrame) -> DataFrame:
+    """Documents with a path below their source; those that begin with a licence are licence files."""
+    starts = F.regexp_extract("text", "^[^\n]*", 0).rlike(SPEAKS_OF_LICENCE)
+    name = F.concat(F.when(starts, "LICENSE-").otherwise("doc-"), F.col("doc_id"))
+    depth = (F.col("doc_id") % 3 + 1).cast("int")
+    folders = F.array(
+        F.col("source"), (F.col("doc_id") % 11).cast("string"), (F.col("doc_id") % 97).cast("string")
+    )
+    path = F.concat_ws("/", F.array_join(F.slice(folders, 1, depth), "/"), name)
+    return docs.select("doc_id", path.alias("path"), "text")
+
+
+FILES_SQL = f"""
+  SELECT doc_id, array_to_string([source, (doc_id % 11)::VARCHAR, (doc_id % 97)::VARCHAR][1:doc_id % 3 + 1], '/')
+    || '/' || CASE WHEN regexp_matches(text, '{SPEAKS_OF_LICENCE.removeprefix("(?i)")}', 'i') AND doc_id % 2 = 0
+    THEN 'LICENSE-' ELSE 'doc-' END || doc_id AS path, text
+  FROM documents
+"""
+
+
+def op8_license_scan(spark: SparkSession, folder: str) -> DataFrame:
+    return scan_licenses(as_files(table(spark, folder, "documents")))
+
+
 def op9_bpe_round_trip(spark: SparkSession, folder: str) -> DataFrame:
     return round_trip_digests(
         table(spark, folder, "documents"), public_tokenizers.path(VOCABULARY)
@@ -79,6 +104,7 @@ def llm_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         op4_language_id,
         op5_best_fit_packing,
         op7_adaptive_scan,
+        op8_license_scan,
         op9_bpe_round_trip,
         op10_jaccard_join,
     )
@@ -86,4 +112,4 @@ def llm_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def llm_oracles() -> dict[str, str]:
-    return {}
+    return {"op8_license_scan": oracle(FILES_SQL)}

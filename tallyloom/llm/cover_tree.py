@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 from tallyloom.llm.shared import written
 from tallyloom.llm.vectors import best_ranked, matrix, usable_vectors
 
-BASE = 1.6
+BASE = 1.3
 LEAF = 32
 BLOCK = 4096
 QUERY_BLOCK = 512
