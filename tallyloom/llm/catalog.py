@@ -63,9 +63,9 @@ def op7_adaptive_scan(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def as_files(docs: DataFrame) -> DataFrame:
-    """Documents with a path below their source; those that begin with a licence are licence files."""
-    starts = F.regexp_extract("text", "^[^\n]*", 0).rlike(SPEAKS_OF_LICENCE)
-    name = F.concat(F.when(starts, "LICENSE-").otherwise("doc-"), F.col("doc_id"))
+    """Documents with a path below their source; every second one with a licence is a licence file."""
+    stated = F.col("text").rlike(SPEAKS_OF_LICENCE) & (F.col("doc_id") % 2 == 0)
+    name = F.concat(F.when(stated, "LICENSE-").otherwise("doc-"), F.col("doc_id"))
     depth = (F.col("doc_id") % 3 + 1).cast("int")
     folders = F.array(
         F.col("source"), (F.col("doc_id") % 11).cast("string"), (F.col("doc_id") % 97).cast("string")
