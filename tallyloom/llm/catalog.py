@@ -18,6 +18,7 @@ from tallyloom.llm.language import identify, train_languages
 from tallyloom.llm.licenses import SPEAKS_OF_LICENCE, oracle, scan_licenses
 from tallyloom.llm.packing import pack_documents
 from tallyloom.llm.shared import bounded_batches
+from tallyloom.llm.suffix_dedup import remove_repeats
 
 VOCABULARY = "word_bpe_49k.json"
 
@@ -57,6 +58,13 @@ def op5_best_fit_packing(spark: SparkSession, folder: str) -> DataFrame:
     return pack_documents(table(spark, folder, "documents"), public_tokenizers.path(VOCABULARY))
 
 
+def op6_suffix_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    return remove_repeats(docs).select(
+        "doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256")
+    )
+
+
 def op7_adaptive_scan(spark: SparkSession, folder: str) -> DataFrame:
     rows = table(spark, folder, "embeddings")
     return nearest(rows, rows.where("vec_id % 20 = 0"))
@@ -103,6 +111,7 @@ def llm_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         op3_importance_resampling,
         op4_language_id,
         op5_best_fit_packing,
+        op6_suffix_dedup,
         op7_adaptive_scan,
         op8_license_scan,
         op9_bpe_round_trip,
