@@ -87,12 +87,13 @@ for _byte in range(0x80):
 
 
 def word_hashes(
-    data: np.ndarray, offsets: np.ndarray, kinds: np.ndarray = WORDS
+    data: np.ndarray, offsets: np.ndarray, kinds: np.ndarray = WORDS, most: int | None = None
 ) -> tuple[np.ndarray, np.ndarray]:
     """Hashes of the tokens of every row, A-Z lower-cased, and n + 1 offsets into them.
 
     By default a token is a run of bytes other than space and U+0009 to U+000D.
-    Works in pieces of about CHUNK_BYTES that end at a token's end.
+    `most` hashes only so many first bytes of each.  Works in pieces of about
+    CHUNK_BYTES that end at a token's end.
     """
     kind = kinds[data]
     first = kind > 0
@@ -103,6 +104,8 @@ def word_hashes(
     last[:-1] &= (kind[1:] != kind[:-1]) | first[1:]
     starts = np.flatnonzero(first)
     ends = np.flatnonzero(last) + 1
+    if most is not None:
+        ends = np.minimum(ends, starts + most)
     hashes = np.empty(len(starts), np.uint64)
     at = 0
     while at < len(starts):

@@ -1,7 +1,7 @@
 """Quality classifier by importance resampling.
 
-Every text is a set of hashed n-grams: words and runs of punctuation, and
-pairs of neighbouring tokens, and runs of one token or pair of tokens by their
+Every text is a set of hashed n-grams: words and runs of punctuation, the first
+bytes of longer ones, pairs of neighbouring tokens, and runs of one token or pair of tokens by their
 length.  Each n-gram has two buckets.  Two generative models over the buckets are counted, from
 the documents labelled as good (target) and from all documents (raw).  The log
 importance weight of a text is the sum of log(target / raw) over its n-grams;
@@ -40,6 +40,7 @@ BINS = 1024
 FEW = 1000
 COPY_BITS = 22
 COPY_SHINGLE = 4
+STEM_BYTES = 4
 LONGEST_RUN = 8
 REPEATED = mix64(np.arange(2 * (LONGEST_RUN + 1), dtype=np.uint64) + np.uint64(0x5245)).reshape(2, -1)
 
@@ -59,8 +60,11 @@ def text_features(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np
         length = ends - np.maximum.accumulate(np.where(same, -1, np.arange(len(same))))[ends]
         runs.append(REPEATED[lag - 1, np.minimum(length, LONGEST_RUN)])
         run_rows.append(row[lag:][ends])
-    grams = np.concatenate([tokens, pairs[within], *runs]) >> np.uint64(64 - 2 * BUCKET_BITS)
-    rows = np.concatenate([row, row[1:][within], *run_rows]).astype(np.uint64)
+    stems, _ = word_hashes(data, offsets, WORDS_AND_MARKS, STEM_BYTES)
+    longer = stems != tokens
+    grams = np.concatenate([tokens, mix64(stems[longer]), pairs[within], *runs])
+    grams >>= np.uint64(64 - 2 * BUCKET_BITS)
+    rows = np.concatenate([row, row[longer], row[1:][within], *run_rows]).astype(np.uint64)
     both = np.unique(rows << np.uint64(2 * BUCKET_BITS) | grams)
     mask = np.uint64((1 << BUCKET_BITS) - 1)
     return (
@@ -265,16 +269,17 @@ def importance_sample(
     text: str = "text",
     target_rows: int = 20_000,
     share: float | None = None,
+    temperature: float = 0.25,
     seed: int = 7,
     carry: tuple[str, ...] = (),
 ) -> DataFrame:
-    """Every row with (doc_id, log_weight, probability, key, kept) and the `carry` columns.
+    """Every row with (doc_id, log_weight, probability, key, kept), and `carry` as carry_0 and so on.
 
     `labels` has doc_id, quality and toxic; target rows have quality 1 and toxic
     0.  About `target_rows` of them, drawn by their ids' hash, fit the target
     model; all labelled rows calibrate it.  `kept` marks the k rows with
-    the largest key, log odds plus Gumbel noise; k is the expected number of
-    target rows, or `share` of all rows.  A null or empty text has no n-grams
+    the largest key, log odds over `temperature` plus Gumbel noise; k is the
+    number of rows that are more likely target than not, or `share` of all.  A null or empty text has no n-grams
     and weight 0.  Noise depends on id and text, so equal rows go together;
     rows that tie at the cut are all kept.  Without labels every row is kept.
     """
@@ -319,17 +324,16 @@ def importance_sample(
     odds = F.lit(slope) * clipped + F.lit(intercept)
     keyed = (
         scored.withColumn("probability", 1 / (1 + F.exp(-odds)))
-        .withColumn("key", odds - F.log(-F.log(uniform)))
+        .withColumn("key", odds / temperature - F.log(-F.log(uniform)))
         .drop("draw")
     )
-    expected, n = keyed.agg(F.sum("probability"), F.count("*")).first()
-    k = round(share * n if share is not None else expected or 0)
-    kept = keyed.withColumn("kept", F.col("key") >= F.lit(kth_largest(keyed.select("key"), k)))
-    return kept.select(
-        "doc_id",
-        *(F.col(f"carry_{i}").alias(c) for i, c in enumerate(carry)),
-        "log_weight",
-        "probability",
-        "key",
-        "kept",
-    )
+    likely, n = keyed.agg(F.count_if(F.col("probability") >= 0.5), F.count("*")).first()
+    k = round(share * n) if share is not None else likely
+    cut = kth_largest(keyed.select("key"), k)
+    return keyed.withColumn("kept", F.col("key") >= F.lit(cut))
+
+
+def sampled_rows(docs: DataFrame, labels: DataFrame, **options) -> DataFrame:
+    """The rows of the sample with exactly their own columns, whatever these are called."""
+    drawn = importance_sample(docs, labels, carry=tuple(docs.columns), **options).where("kept")
+    return drawn.select(*(F.col(f"carry_{k}").alias(c) for k, c in enumerate(docs.columns)))

@@ -31,3 +31,14 @@ def written(df: DataFrame, name: str) -> DataFrame:
     path = shared_folder(df.sparkSession, name)
     df.write.option("compression", "zstd").parquet(path)
     return df.sparkSession.read.parquet(path)
+
+
+def plain_columns(df: DataFrame, *names: str) -> tuple[DataFrame, list[str]]:
+    """The frame with its columns called column_0 and so on, but for the given ones' new names."""
+    new = [f"column_{k}" for k in range(len(df.columns))]
+    return df.toDF(*new), [new[df.columns.index(name)] for name in names]
+
+
+def named_again(df: DataFrame, like: DataFrame) -> DataFrame:
+    """Only the columns that plain_columns renamed, with their names."""
+    return df.select(*(df[f"column_{k}"].alias(c) for k, c in enumerate(like.columns)))
