@@ -232,9 +232,11 @@ def train_languages(
     by the sample, and `calibration_rows` texts of each language reach the driver.
     """
     rows = docs.select(F.col(lang).alias("lang"), F.col(text).alias("text")).dropna()
-    sizes = rows.groupBy("lang").agg(F.count("*").alias("n"))
-    drawn = rows.withColumn("draw", F.rand(17)).join(sizes, "lang")
-    drawn = drawn.withColumn("draw", F.col("draw") * F.col("n"))
+    sizes = rows.groupBy("lang").count().collect()  # one row for each column of the model
+    if not sizes:
+        return LanguageModels([])
+    known = F.create_map(*(F.lit(x) for r in sizes for x in (r["lang"], r["count"])))
+    drawn = rows.withColumn("draw", F.rand(17) * F.element_at(known, F.col("lang")))
     sample = drawn.where(F.col("draw") < rows_per_language).select("lang", "text")
 
     def count(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
