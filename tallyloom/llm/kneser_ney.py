@@ -83,6 +83,8 @@ class TaskCounter:
     def flush(self) -> Iterator[pa.RecordBatch]:
         keys, counts = add_up(self.keys, self.counts)
         self.keys, self.counts, self.held = [], [], 0
+        if not len(keys):
+            return
         shards = self.shards_of(keys)
         order = np.argsort(shards, kind="stable")
         found, first = np.unique(shards[order], return_index=True)
@@ -202,7 +204,9 @@ class KneserNey:
 
 def runs(shards: np.ndarray) -> Iterator[tuple[int, int, int]]:
     """(shard, first, end) of each run of equal numbers."""
-    heads = np.flatnonzero(np.concatenate([[True], np.diff(shards) != 0])[: len(shards)])
+    if not len(shards):
+        return
+    heads = np.flatnonzero(np.concatenate([[True], np.diff(shards) != 0]))
     for a, b in zip(heads, np.append(heads[1:], len(shards)), strict=True):
         yield int(shards[a]), int(a), int(b)
 
