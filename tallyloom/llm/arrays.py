@@ -138,7 +138,7 @@ def gather_ragged(pool: np.ndarray, starts: np.ndarray, lengths: np.ndarray) ->
     return pool[index]
 
 
-def row_slices(offsets: np.ndarray, most: int = 4 * CHUNK_BYTES) -> Iterator[tuple[int, int]]:
+def row_slices(offsets: np.ndarray, most: int = 2 * CHUNK_BYTES) -> Iterator[tuple[int, int]]:
     """Ranges of rows of at most `most` bytes together, or of one longer row."""
     at, n = 0, len(offsets) - 1
     while at < n:

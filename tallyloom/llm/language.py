@@ -144,6 +144,18 @@ class LanguageModels:
             cache["logs"][slots[some]] = sums
         return logs
 
+    def entropies_in_parts(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """The same for texts that are large together."""
+        parts, at = [], 0
+        while at < len(texts):
+            stop, size = at, 0
+            while stop < len(texts) and (stop == at or size + len(texts[stop]) <= SLICE_BYTES // 2):
+                size += len(texts[stop])
+                stop += 1
+            parts.append(self.entropies(texts[at:stop]))
+            at = stop
+        return tuple(np.concatenate(x) for x in zip(*parts, strict=True))
+
     def entropies(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """Cross-entropy per character in every language, and characters, of every text."""
         codes, starts, ends, rows = text_words(texts)
@@ -197,11 +209,13 @@ def fit(counts: dict[str, tuple[np.ndarray, np.ndarray]]) -> LanguageModels:
 
 def calibrate(models: LanguageModels, rows: list[tuple[str, str]], reject_share: float) -> None:
     """Sharpness by the labelled rows' likelihood; limit that `reject_share` of them exceed."""
-    entropies, n = models.entropies([t for _, t in rows])
+    models.limit = np.full(len(models.languages), np.inf)
+    if not rows:
+        return
+    entropies, n = models.entropies_in_parts([t for _, t in rows])
     truth = np.array([models.languages.index(lang) for lang, _ in rows])
     used = n > 0
     entropies, truth = entropies[used], truth[used]
-    models.limit = np.full(len(models.languages), np.inf)
     if not len(truth):
         return
     gap = entropies - entropies.min(axis=1, keepdims=True)
