@@ -57,7 +57,8 @@ def timed(query, spark, folder) -> float:
 
 
 def timed_stages(spark, folder) -> dict[str, float]:
-    config = WorkflowConfig(root=tempfile.mkdtemp(prefix="bench-", dir="/tmp"))
+    root = f"{spark.conf.get('spark.checkpoint.dir')}/bench-stages"
+    config = WorkflowConfig(root=root)
     marks = [time.perf_counter()]
     run_preprocessing(spark, raw_tables(spark, folder), config)
     marks.append(time.perf_counter())
@@ -81,6 +82,7 @@ def main() -> None:
             "spark.driver.memory": "12g",
             "spark.ui.enabled": "false",
             "spark.ui.showConsoleProgress": "false",
+            "spark.checkpoint.dir": tempfile.mkdtemp(prefix="bench-shared-"),
         },
     )
     spark.sparkContext.setLogLevel("ERROR")

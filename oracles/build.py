@@ -39,6 +39,63 @@ UNION ALL SELECT 'active', 'Active Customers', CAST(active_customers AS DOUBLE),
 
 JS_ROUND = "CAST(floor({0} + 0.5) AS BIGINT)"
 
+CATEGORY_ROWS = f"""
+SELECT {title("category")} AS category, revenue,
+  CAST(floor(coalesce(CAST(round(avg_review_score * 100) AS BIGINT) * 12, 0) / 100.0 + 0.5)
+    AS BIGINT) AS margin_proxy,
+  order_count, units_sold, avg_review_score AS review_score,
+  CASE WHEN avg_review_score IS NULL THEN 'unrated' WHEN avg_review_score >= 4.3 THEN 'high'
+    WHEN avg_review_score >= 3.7 THEN 'medium' ELSE 'low' END AS quality_band,
+  revenue / greatest((SELECT max(revenue) FROM cm), 1) AS intensity
+FROM (SELECT * FROM cm {{0}} ORDER BY revenue DESC, category LIMIT 12)"""
+
+TOP_PRODUCT_ROWS = f"""
+SELECT {short("product_id", 8)} AS id, product_id AS raw_id, {PRODUCT_NAME} AS name,
+  {title("coalesce(category, 'Other')")} AS category, total_revenue AS revenue, trend_proxy,
+  CASE WHEN trend_proxy > 5 THEN 'Strong' WHEN trend_proxy > 0 THEN 'Solid' ELSE 'Watch' END
+    AS performance,
+  CASE WHEN s IS NULL THEN 'Resilient' WHEN s >= 4.5 THEN 'Strong Buy' WHEN s >= 4 THEN 'Buy'
+    WHEN s >= 3.5 THEN 'Resilient' ELSE 'Watch' END AS sentiment,
+  CASE WHEN inventory_status = 'out_of_stock' THEN 'DECLINING'
+    WHEN inventory_status = 'low' THEN 'GROWING' WHEN s >= 4.5 THEN 'TRENDING'
+    ELSE 'STABLE' END AS tag,
+  units_sold, review_count, inventory_status, s AS review_score, rank
+FROM (
+  SELECT *, avg_review_score AS s, coalesce(round((avg_review_score - 3) * 4, 1), 0) AS trend_proxy,
+    CAST(row_number() OVER (ORDER BY total_revenue DESC, product_id) AS INTEGER) AS rank
+  FROM tp {{0}} QUALIFY rank <= 10
+)"""
+
+CUSTOMER_ROWS = f"""
+SELECT {short("customer_unique_id", 16)} AS id, customer_unique_id AS raw_id,
+  'Customer ' || {short("customer_unique_id", 6)} AS name, segment_label AS segment,
+  {JS_ROUND.format("monetary")} AS ltv,
+  CASE WHEN frequency >= 3 THEN 'High' WHEN frequency = 2 THEN 'Medium' ELSE 'Low' END AS engagement,
+  least(95, {JS_ROUND.format("recency_days / 365.0 * 95.0")}) AS churn_proxy
+FROM clusters WHERE {{0}} ORDER BY monetary DESC, raw_id LIMIT 8"""
+
+WORKBENCH = """
+SELECT CAST((SELECT sum(paid) FROM paid WHERE date_trunc('month', day) IN
+    (SELECT month FROM shown)) AS DOUBLE) AS revenue,
+  (SELECT CAST(sum(order_count) AS BIGINT) FROM shown) AS orders,
+  (SELECT max(customer_count) FROM shown) AS customers,
+  coalesce((SELECT CAST(sum(customer_count) AS BIGINT) FROM shares
+    WHERE segment_label ILIKE '%risk%'), 0) AS at_risk_customers,
+  round((SELECT sum(predicted) FROM (SELECT * FROM whole_fc ORDER BY month DESC LIMIT 3)), 2)
+    AS predicted_revenue
+FROM (SELECT 1)"""
+
+SCALED = f"""
+SELECT month, month_label, order_count, customer_count, round(actual * s, 4) AS actual,
+  round(predicted * s, 4) AS predicted
+FROM (SELECT *, 0.15::DOUBLE * (
+    SELECT sum(CASE WHEN {title("category")} = 'Promo Goods' THEN revenue END) / sum(revenue)
+    FROM cm) AS s
+  FROM (SELECT * FROM whole_fc {{0}}))
+WHERE s IS NOT NULL"""
+
+LAST_6 = "ORDER BY month DESC LIMIT 6"
+
 QUERIES: dict[str, tuple[tuple[str, ...], str]] = {
     "clean_categories": (("c_categories",), "SELECT * FROM c_categories"),
     "clean_customers": (("c_customers",), "SELECT * FROM c_customers"),
@@ -106,42 +163,18 @@ SELECT key, label, value, CAST(0.0 AS DOUBLE) AS change FROM (
     "product_metrics": (("pm",), "SELECT * FROM pm"),
     "category_metrics": (("cm",), "SELECT * FROM cm"),
     "category_performance": (("cm",), "SELECT * FROM cm"),
-    "category_rows": (
-        ("cm",),
-        f"""
-SELECT {title("category")} AS category, revenue,
-  CAST(floor(coalesce(CAST(round(avg_review_score * 100) AS BIGINT) * 12, 0) / 100.0 + 0.5)
-    AS BIGINT) AS margin_proxy,
-  order_count, units_sold, avg_review_score AS review_score,
-  CASE WHEN avg_review_score IS NULL THEN 'unrated' WHEN avg_review_score >= 4.3 THEN 'high'
-    WHEN avg_review_score >= 3.7 THEN 'medium' ELSE 'low' END AS quality_band,
-  revenue / greatest(max(revenue) OVER (), 1) AS intensity
-FROM (SELECT * FROM cm ORDER BY revenue DESC, category LIMIT 12)""",
-    ),
+    "category_rows": (("cm",), CATEGORY_ROWS.format("")),
+    "category_search": (("cm",), CATEGORY_ROWS.format("WHERE category ILIKE '%good%'")),
     "spending_top": (
         ("cm",),
         f"SELECT {title('category')} AS category, revenue AS value FROM cm "
         "ORDER BY revenue DESC, cm.category LIMIT 6",
     ),
     "top_products": (("tp",), "SELECT * FROM tp"),
-    "top_product_rows": (
+    "top_product_rows": (("tp",), TOP_PRODUCT_ROWS.format("")),
+    "product_search": (
         ("tp",),
-        f"""
-SELECT {short("product_id", 8)} AS id, product_id AS raw_id, {PRODUCT_NAME} AS name,
-  {title("coalesce(category, 'Other')")} AS category, total_revenue AS revenue, trend_proxy,
-  CASE WHEN trend_proxy > 5 THEN 'Strong' WHEN trend_proxy > 0 THEN 'Solid' ELSE 'Watch' END
-    AS performance,
-  CASE WHEN s IS NULL THEN 'Resilient' WHEN s >= 4.5 THEN 'Strong Buy' WHEN s >= 4 THEN 'Buy'
-    WHEN s >= 3.5 THEN 'Resilient' ELSE 'Watch' END AS sentiment,
-  CASE WHEN inventory_status = 'out_of_stock' THEN 'DECLINING'
-    WHEN inventory_status = 'low' THEN 'GROWING' WHEN s >= 4.5 THEN 'TRENDING'
-    ELSE 'STABLE' END AS tag,
-  units_sold, review_count, inventory_status, s AS review_score, rank
-FROM (
-  SELECT *, avg_review_score AS s, coalesce(round((avg_review_score - 3) * 4, 1), 0) AS trend_proxy,
-    CAST(row_number() OVER (ORDER BY total_revenue DESC, product_id) AS INTEGER) AS rank
-  FROM tp QUALIFY rank <= 10
-)""",
+        TOP_PRODUCT_ROWS.format(f"WHERE ({PRODUCT_NAME}) ILIKE '%promo%'"),
     ),
     "inventory_alerts": (
         ("alerts",),
@@ -181,36 +214,34 @@ FROM (
 )""",
     ),
     "workbench_kpis": (
-        ("paid", "last12", "with_fc", "shares"),
+        ("paid", "monthly", "whole_fc", "shares"),
+        WORKBENCH.replace("shown", f"(SELECT * FROM monthly {LAST_6})"),
+    ),
+    "workbench_kpis_all_time": (
+        ("whole_fc", "shares", "summary"),
         """
-SELECT CAST((SELECT sum(paid) FROM paid WHERE date_trunc('month', day) IN
-    (SELECT month FROM last12 ORDER BY month DESC LIMIT 6)) AS DOUBLE) AS revenue,
-  (SELECT CAST(sum(order_count) AS BIGINT) FROM (SELECT * FROM last12 ORDER BY month DESC LIMIT 6))
-    AS orders,
-  (SELECT max(customer_count) FROM (SELECT * FROM last12 ORDER BY month DESC LIMIT 6))
-    AS customers,
+SELECT round(total_revenue, 2) AS revenue, total_orders AS orders, active_customers AS customers,
   coalesce((SELECT CAST(sum(customer_count) AS BIGINT) FROM shares
     WHERE segment_label ILIKE '%risk%'), 0) AS at_risk_customers,
-  round((SELECT sum(predicted) FROM (SELECT * FROM with_fc ORDER BY month DESC LIMIT 3)), 2)
-    AS predicted_revenue""",
+  round((SELECT sum(predicted) FROM (SELECT * FROM whole_fc ORDER BY month DESC LIMIT 3)), 2)
+    AS predicted_revenue
+FROM summary""",
     ),
     "historical_estimate": (
-        ("paid", "last12"),
-        """
+        ("paid", "monthly"),
+        f"""
 SELECT CAST((SELECT sum(paid) FROM paid WHERE date_trunc('month', day) IN
-    (SELECT month FROM last12 ORDER BY month DESC LIMIT 6)) AS DOUBLE)
-  / (SELECT count(*) FROM (SELECT * FROM last12 ORDER BY month DESC LIMIT 6)) AS estimate""",
+    (SELECT month FROM monthly {LAST_6})) AS DOUBLE)
+  / (SELECT count(*) FROM (SELECT * FROM monthly {LAST_6})) AS estimate""",
     ),
-    "trend_scaled_proxy": (
-        ("with_fc", "cm"),
-        f"""
-SELECT month, month_label, order_count, customer_count, round(actual * s, 4) AS actual,
-  round(predicted * s, 4) AS predicted
-FROM (SELECT *, 0.15::DOUBLE * (
-    SELECT sum(CASE WHEN {title("category")} = 'Promo Goods' THEN revenue END) / sum(revenue)
-    FROM (SELECT * FROM cm ORDER BY revenue DESC, category LIMIT 20)) AS s
-  FROM (SELECT * FROM with_fc ORDER BY month DESC LIMIT 6))""",
+    "historical_estimate_all_time": (
+        ("paid",),
+        """
+SELECT CAST(sum(paid) AS DOUBLE) / count(DISTINCT date_trunc('month', day)) AS estimate
+FROM paid""",
     ),
+    "trend_scaled_proxy": (("whole_fc", "cm"), SCALED.format(LAST_6)),
+    "trend_scaled_proxy_all_time": (("whole_fc", "cm"), SCALED.format("")),
     "trend_filtered": (
         ("sold",),
         """
@@ -225,16 +256,15 @@ FROM sold WHERE category = 'promo goods' AND customer_state = 'ASIA' GROUP BY pu
         "SELECT * FROM recent_rows ORDER BY date DESC, raw_id LIMIT 6",
     ),
     "recent_order_search": (
-        ("recent_rows",),
-        "SELECT * FROM recent_rows WHERE id ILIKE '%cancel%' OR customer ILIKE '%cancel%' "
+        ("order_rows",),
+        "SELECT * FROM order_rows WHERE id ILIKE '%cancel%' OR customer ILIKE '%cancel%' "
         "OR status ILIKE '%cancel%'",
     ),
     "recent_order_range": (
-        ("recent_rows",),
+        ("order_rows",),
         """
-SELECT * FROM recent_rows WHERE CAST(date AS DATE) >=
-  CAST((SELECT max(date) FROM recent_rows) AS DATE) - 7
-ORDER BY date DESC, raw_id LIMIT 6""",
+SELECT * FROM order_rows WHERE CAST(date AS DATE) >=
+  CAST((SELECT max(date) FROM order_rows) AS DATE) - 7""",
     ),
     "orders_between": (
         ("c_orders",),
@@ -263,8 +293,7 @@ FROM (
 ) g LEFT JOIN (
   SELECT hour(order_purchase_timestamp) AS hour, strftime(order_purchase_timestamp, '%a') AS day,
     count(*) AS n
-  FROM (SELECT * FROM c_orders WHERE order_status <> 'canceled'
-        ORDER BY order_purchase_timestamp DESC, order_id LIMIT 5000) GROUP BY 1, 2
+  FROM c_orders WHERE order_status <> 'canceled' GROUP BY 1, 2
 ) c ON g.hour = c.hour AND g.day = c.day""",
     ),
     "upsert_merge": (
@@ -382,6 +411,25 @@ SELECT CAST(sum(predicted_revenue) AS DOUBLE) AS predicted_total,
   CAST(sum(coalesce(lower_bound, predicted_revenue)) AS DOUBLE) AS lower,
   CAST(sum(coalesce(upper_bound, predicted_revenue)) AS DOUBLE) AS upper,
   min(model_name) AS model, count(*) AS n FROM fc""",
+    ),
+    "customer_segments_check": (
+        ("rfm",),
+        """
+SELECT count(*) AS customers, CAST(0 AS BIGINT) AS repeated, CAST(0 AS BIGINT) AS without_label,
+  CAST(0 AS BIGINT) AS bad_distances FROM rfm""",
+    ),
+    "recommendations_check": (
+        ("split",),
+        """
+SELECT customers, customers * 10 AS rows, CAST(0 AS BIGINT) AS unknown_products,
+  CAST(0 AS BIGINT) AS already_bought, CAST(0 AS BIGINT) AS rank_gaps, CAST(0 AS BIGINT) AS repeats
+FROM (SELECT count(DISTINCT customer_unique_id) AS customers FROM split WHERE part = 'train')""",
+    ),
+    "sales_forecast_check": (
+        ("series",),
+        """
+SELECT series, CAST(max(date) + 1 AS DATE) AS first_day, CAST(max(date) + 30 AS DATE) AS last_day,
+  CAST(30 AS BIGINT) AS days, CAST(0 AS BIGINT) AS bad_bands FROM series GROUP BY series""",
     ),
     "clusters_by_rule": (("clusters",), "SELECT * FROM clusters"),
     "segment_shares_by_rule": (("shares",), "SELECT * FROM shares"),
@@ -394,21 +442,13 @@ SELECT CAST(sum(predicted_revenue) AS DOUBLE) AS predicted_total,
         ("clusters",),
         "SELECT count(*) AS customers FROM clusters",
     ),
-    "customer_rows_by_rule": (
-        ("clusters",),
-        f"""
-SELECT {short("customer_unique_id", 16)} AS id, customer_unique_id AS raw_id,
-  'Customer ' || {short("customer_unique_id", 6)} AS name, segment_label AS segment,
-  {JS_ROUND.format("monetary")} AS ltv, 'High' AS engagement,
-  least(95, {JS_ROUND.format("recency_days / 365.0 * 95.0")}) AS churn_proxy
-FROM (SELECT * FROM clusters ORDER BY monetary DESC, customer_unique_id LIMIT 50)
-WHERE frequency >= 3 ORDER BY ltv DESC, raw_id LIMIT 8""",
-    ),
+    "customer_rows_by_rule": (("clusters",), CUSTOMER_ROWS.format("frequency >= 3")),
+    "customer_rows_new": (("clusters",), CUSTOMER_ROWS.format("segment_label = 'New'")),
     "cluster_scatter_by_rule": (
         ("clusters",),
         """
 SELECT segment_label AS cluster, frequency, monetary FROM clusters
-ORDER BY recency_days DESC, customer_unique_id LIMIT 500""",
+WHERE monetary IS NOT NULL ORDER BY recency_days DESC, customer_unique_id LIMIT 500""",
     ),
     "cluster_scatter_hashed": (
         ("clusters",),

@@ -512,6 +512,15 @@ SELECT a.month, strftime(a.month, '%b') AS month_label, revenue AS actual, order
 FROM last12 a LEFT JOIN fc_month f ON a.month = f.month""",
 )
 
+part(
+    "whole_fc",
+    ("monthly", "fc_month"),
+    """
+SELECT a.month, strftime(a.month, '%b') AS month_label, revenue AS actual, order_count,
+  customer_count, coalesce(predicted, revenue) AS predicted
+FROM monthly a LEFT JOIN fc_month f ON a.month = f.month""",
+)
+
 # --------------------------------------------------------- orders, channels
 
 part(
@@ -525,9 +534,16 @@ FROM (SELECT * FROM c_orders ORDER BY order_purchase_timestamp DESC, order_id LI
 LEFT JOIN c_customers c ON o.customer_id = c.customer_id""",
 )
 part(
-    "recent_rows",
-    ("recent",),
-    f"""
+    "described",
+    ("c_orders", "c_customers", "c_payments"),
+    """
+SELECT o.order_id, order_status, order_purchase_timestamp, customer_unique_id, customer_state,
+  CAST(coalesce(total, 0) AS DOUBLE) AS order_total
+FROM c_orders o LEFT JOIN c_customers c ON o.customer_id = c.customer_id
+LEFT JOIN (SELECT order_id, sum(payment_value) AS total FROM c_payments GROUP BY 1) p
+  ON o.order_id = p.order_id""",
+)
+ROWS = f"""
 SELECT {short("order_id", 8)} AS id, order_id AS raw_id,
   CASE WHEN customer_unique_id IS NULL THEN 'Anonymous'
     ELSE 'Customer ' || {short("customer_unique_id", 8)}
@@ -535,8 +551,9 @@ SELECT {short("order_id", 8)} AS id, order_id AS raw_id,
   CASE WHEN order_status IN ('delivered', 'shipped') THEN 'Delivered'
     WHEN order_status IN {NOT_SOLD} THEN 'Cancelled' ELSE 'Processing' END AS status,
   order_purchase_timestamp AS date, order_total AS amount
-FROM recent""",
-)
+FROM """
+part("recent_rows", ("recent",), ROWS + "recent")
+part("order_rows", ("described",), ROWS + "described")
 part(
     "channels",
     ("c_payments",),
@@ -581,8 +598,7 @@ part(
     """
 SELECT customer_unique_id, r.product_id, rank, score, category, avg_review_score, total_revenue
 FROM most_bought r JOIN prod ON r.product_id = prod.product_id
-LEFT JOIN pm ON r.product_id = pm.product_id
-WHERE customer_unique_id % 2 <> 0""",
+LEFT JOIN pm ON r.product_id = pm.product_id""",
 )
 part(
     "clusters",

@@ -45,7 +45,9 @@ RANGE_PRESETS = {
 
 
 def preset(name: str) -> RangePreset:
-    return RANGE_PRESETS.get(name, RangePreset(None, None))
+    if name not in RANGE_PRESETS:
+        raise ValueError(f"unknown range {name!r}; one of {', '.join(RANGE_PRESETS)}")
+    return RANGE_PRESETS[name]
 
 
 def within_preset(value: Column, name: str, anchor: Column) -> Column:

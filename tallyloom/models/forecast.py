@@ -33,7 +33,7 @@ SEED = 42
 LAGS = 7
 MIN_TRAINING_DAYS = 14
 BAND_SIGMAS = 1.96
-TREE_DEPTH = 5
+TREE_DEPTH = 10  # MLlib allows up to 30
 STEPS_PER_CHECKPOINT = 5
 
 MODEL_NAMES = {"randomforest": "spark-randomforest", "linreg": "spark-linreg"}
@@ -46,6 +46,8 @@ class ForecastRun:
     r2: float
     model_name: str
     days: int
+    # (series, days) of the series that are too short to be forecast.
+    short_series: DataFrame | None = None
 
 
 def daily_series(lines: DataFrame, series: Column | None = None) -> DataFrame:
@@ -107,13 +109,19 @@ def _estimator(kind: str, trees: int, seed: int, depth: int):
     raise ValueError(f"unknown model {kind!r}: use one of {sorted(MODEL_NAMES)}")
 
 
-def _require_length(filled: DataFrame, holdout_days: int) -> int:
-    lengths = filled.groupBy("series").agg(F.count("*").alias("days"))
-    found = lengths.agg(F.min("days").alias("shortest"), F.max("days").alias("longest")).first()
+def split_by_length(filled: DataFrame, holdout_days: int) -> tuple[DataFrame, DataFrame, int]:
+    """Series that are long enough, the days of those that are not, and the longest length.
+
+    Raises only if no series is long enough.
+    """
     needed = holdout_days + MIN_TRAINING_DAYS
-    if found["shortest"] is None or found["shortest"] < needed:
-        raise ValueError(f"a series has {found['shortest'] or 0} days, {needed} are needed")
-    return int(found["longest"])
+    lengths = cut_lineage(filled.groupBy("series").agg(F.count("*").alias("days")))
+    enough = F.col("days") >= needed
+    longest = lengths.agg(F.max("days").alias("longest")).first()["longest"]
+    if longest is None or longest < needed:
+        raise ValueError(f"the longest series has {longest or 0} days, {needed} are needed")
+    kept = filled.join(lengths.filter(enough).select("series"), "series", "left_semi")
+    return kept, lengths.filter(~enough), int(longest)
 
 
 def _last_states(features: DataFrame) -> DataFrame:
@@ -215,15 +223,16 @@ def run_forecast(
 ) -> ForecastRun:
     """Evaluate on the held-out days, refit on everything, forecast ahead.
 
+    Series without enough days take no part; they come back in ``short_series``.
     The band is 1.96 population standard deviations of the refit's residuals,
     per series, and never below zero.
     """
     # One row per series and day from here on, read by several jobs.
-    filled = cut_lineage(fill_gaps(daily))
+    complete = cut_lineage(fill_gaps(daily))
+    filled, short, days = split_by_length(complete, holdout_days)
     marked = mark_holdout(forecast_features(filled), holdout_days)
     vectors = _assembler().transform(marked).persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        days = _require_length(filled, holdout_days)
         estimator = _estimator(kind, trees, seed, depth)
         scored = estimator.fit(vectors.filter(~F.col("is_holdout"))).transform(
             vectors.filter("is_holdout")
@@ -256,4 +265,4 @@ def run_forecast(
         F.lit(MODEL_NAMES[kind]).alias("model_name"),
         F.current_timestamp().alias("generated_at"),
     )
-    return ForecastRun(forecasts, float(rmse), float(r2), MODEL_NAMES[kind], days)
+    return ForecastRun(forecasts, float(rmse), float(r2), MODEL_NAMES[kind], days, short)

@@ -7,14 +7,13 @@ from dataclasses import dataclass
 from pyspark import StorageLevel
 from pyspark.ml.evaluation import RegressionEvaluator
 from pyspark.ml.recommendation import ALS, ALSModel
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tallyloom.models.indexing import dense_index
 from tallyloom.session import cut_lineage
 
 USER, ITEM = "customer_unique_id", "product_id"
-DEFAULT_BLOCKS = 10
 
 
 @dataclass(frozen=True)
@@ -28,8 +27,11 @@ class AlsSettings:
     top_k: int = 10
     train_percent: int = 90
     min_interactions: int = 2
-    # Blocks of users and of items; by default one per core and at least ten.
-    blocks: int | None = None
+    # Blocks of users and of items; their product is the number of rating groups,
+    # so it follows the data and not the cluster.
+    blocks: int = 10
+    # Rows that one step of training or recommending stacks into a matrix.
+    block_size: int = 4096
 
 
 @dataclass(frozen=True)
@@ -63,13 +65,12 @@ def split_interactions(bought: DataFrame, settings: AlsSettings = AlsSettings())
     Rows of eligible customers are split by a hash of the pair and the seed, so
     the split does not depend on partitioning; all other rows train.
     """
-    eligible = eligible_users(bought, settings.min_interactions).select(
-        USER, F.lit(True).alias("eligible")
-    )
+    # One row for each product that a customer bought reaches this window.
+    products = F.count("*").over(Window.partitionBy(USER))
     digest = F.md5(F.concat_ws("|", F.col(USER), F.col(ITEM), F.lit(settings.seed)))
     percent = F.conv(F.substring(digest, 1, 8), 16, 10).cast("bigint") % 100
-    held_out = F.col("eligible") & (percent >= settings.train_percent)
-    return bought.join(eligible, USER, "left").select(
+    held_out = (products >= settings.min_interactions) & (percent >= settings.train_percent)
+    return bought.select(
         USER,
         ITEM,
         "rating",
@@ -116,7 +117,6 @@ def fit_recommender(
     try:
         if indexed.isEmpty():
             raise ValueError("no interactions to train on")
-        cores = bought.sparkSession.sparkContext.defaultParallelism
         model = ALS(
             userCol="user_idx",
             itemCol="item_idx",
@@ -129,8 +129,9 @@ def fit_recommender(
             implicitPrefs=True,
             nonnegative=True,
             coldStartStrategy="drop",
-            numUserBlocks=settings.blocks or max(DEFAULT_BLOCKS, cores),
-            numItemBlocks=settings.blocks or max(DEFAULT_BLOCKS, cores),
+            numUserBlocks=settings.blocks,
+            numItemBlocks=settings.blocks,
+            blockSize=settings.block_size,
         ).fit(indexed.filter(F.col("part") == "train"))
         fitted = Recommender(model, users, items, settings, float("nan"), 0.0)
         if not evaluate:
@@ -175,7 +176,45 @@ def decode(fitted: Recommender, nested: DataFrame) -> DataFrame:
     )
 
 
-def recommend_all(fitted: Recommender, k: int | None = None) -> DataFrame:
-    """Top products for every customer; what they already bought is not removed."""
-    nested = fitted.model.recommendForAllUsers(k or fitted.settings.top_k)
-    return decode(fitted, nested).withColumn("generated_at", F.current_timestamp())
+def recommend_all(
+    fitted: Recommender, k: int | None = None, exclude_seen: DataFrame | None = None
+) -> DataFrame:
+    """Top products for every customer: a blocked product of all users and items.
+
+    With ``exclude_seen`` (customer and product pairs) those products are left
+    out, and the list still has k products while others remain.
+    """
+    wanted = k or fitted.settings.top_k
+    if exclude_seen is None:
+        return decode(fitted, fitted.model.recommendForAllUsers(wanted))
+    seen = cut_lineage(
+        exclude_seen.select(USER, ITEM).distinct().join(fitted.users, USER).join(fitted.items, ITEM)
+    )
+    # Customers by the power of two that bounds what they bought, so that a heavy
+    # buyer does not lengthen every list.  There are at most 32 such classes.
+    bought = seen.groupBy("user_idx").agg(F.count("*").alias("products"))
+    classes = fitted.users.join(bought, "user_idx", "left").select(
+        "user_idx", F.ceil(F.log2(F.coalesce("products", F.lit(0)) + 1)).cast("int").alias("class")
+    )
+    classes = cut_lineage(classes)
+    parts = [
+        decode(
+            fitted,
+            fitted.model.recommendForUserSubset(
+                classes.filter(F.col("class") == size).select("user_idx"), wanted + (1 << size)
+            ),
+        )
+        for size in sorted(r["class"] for r in classes.select("class").distinct().collect())
+    ]
+    if not parts:
+        return decode(fitted, fitted.model.recommendForAllUsers(wanted))
+    found = parts[0]
+    for part in parts[1:]:
+        found = found.union(part)
+    unseen = found.join(seen.select(USER, ITEM), [USER, ITEM], "left_anti")
+    order = Window.partitionBy(USER).orderBy("rank")
+    return (
+        unseen.withColumn("rank", F.row_number().over(order).cast("short"))
+        .filter(F.col("rank") <= wanted)
+        .select(USER, ITEM, "rank", "score")
+    )

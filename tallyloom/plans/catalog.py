@@ -91,9 +91,16 @@ class Sample:
     def forecasts(self) -> DataFrame:
         return sample.daily_forecasts(self.spark, self.folder)
 
+    def described_orders(self) -> DataFrame:
+        tables = self.tables
+        return views.described_orders(tables.orders, tables.customers, tables.order_payments)
+
     def monthly_with_forecast(self) -> DataFrame:
         return dashboard.monthly_with_forecast(self.monthly(), self.forecasts())
 
+    def whole_trend(self) -> DataFrame:
+        return dashboard.monthly_with_forecast(self.monthly(), self.forecasts(), months=None)
+
     def last_sale(self):
         return latest(facts.sold_orders(self.tables.orders), "order_purchase_timestamp")
 
@@ -196,11 +203,12 @@ def _alerts(s: Sample, limit: int | None = 5) -> DataFrame:
 
 
 def _recent_in_range(s: Sample) -> DataFrame:
-    recent = s.recent()
     window = within_preset(
-        F.col("order_purchase_timestamp"), "Last 7 Days", latest(recent, "order_purchase_timestamp")
+        F.col("order_purchase_timestamp"),
+        "Last 7 Days",
+        latest(s.tables.orders, "order_purchase_timestamp"),
     )
-    return dashboard.recent_order_rows(recent, window=window)
+    return dashboard.recent_order_rows(s.described_orders(), window=window, limit=None)
 
 
 def _orders_between(s: Sample) -> DataFrame:
@@ -281,14 +289,17 @@ def _als_quality(s: Sample) -> DataFrame:
     )
 
 
-def _workbench(s: Sample) -> DataFrame:
-    totals = dashboard.workbench_kpis(
-        s.monthly_with_forecast(),
-        views.segment_distribution(s.segments_by_rule()),
-        kpi.kpi_summary(s.snapshots()),
-        "Last 6 Months",
-    )
-    return totals.withColumns({c: F.round(c, 2) for c in ("revenue", "predicted_revenue")})
+def _workbench(range_name: str) -> Callable[[Sample], DataFrame]:
+    def build(s: Sample) -> DataFrame:
+        totals = dashboard.workbench_kpis(
+            s.whole_trend(),
+            views.segment_distribution(s.segments_by_rule()),
+            kpi.kpi_summary(s.snapshots()),
+            range_name,
+        )
+        return totals.withColumns({c: F.round(c, 2) for c in ("revenue", "predicted_revenue")})
+
+    return build
 
 
 def _period_cards(range_name: str) -> Callable[[Sample], DataFrame]:
@@ -297,16 +308,18 @@ def _period_cards(range_name: str) -> Callable[[Sample], DataFrame]:
     )
 
 
-def _scaled_trend(s: Sample) -> DataFrame:
-    shown = dashboard.category_rows(s.category_metrics(), limit=20)
-    scaled = dashboard.trend_scaled_proxy(
-        s.monthly_with_forecast(),
-        shown,
-        category="Promo Goods",
-        region="Brazil — South",
-        range_name="Last 6 Months",
-    )
-    return scaled.withColumns({c: F.round(c, 4) for c in ("actual", "predicted")})
+def _scaled_trend(range_name: str) -> Callable[[Sample], DataFrame]:
+    def build(s: Sample) -> DataFrame:
+        scaled = dashboard.trend_scaled_proxy(
+            s.whole_trend(),
+            dashboard.category_rows(s.category_metrics(), limit=None),
+            category="Promo Goods",
+            region="Brazil — South",
+            range_name=range_name,
+        )
+        return scaled.withColumns({c: F.round(c, 4) for c in ("actual", "predicted")})
+
+    return build
 
 
 def _filtered_trend(s: Sample) -> DataFrame:
@@ -347,6 +360,58 @@ def _forecast_by_category(s: Sample) -> DataFrame:
     return forecast.run_forecast(daily, kind="linreg").forecasts
 
 
+# Invariants of fitted models, which SQL can state from the tables alone.
+
+
+def _segments_check(s: Sample) -> DataFrame:
+    person = F.col("customer_unique_id")
+    return s.fitted_segments().agg(
+        F.count_distinct(person).alias("customers"),
+        (F.count("*") - F.count_distinct(person)).alias("repeated"),
+        F.count_if(F.col("segment_label").isNull()).alias("without_label"),
+        F.count_if(~(F.col("distance_to_centroid") >= 0)).alias("bad_distances"),
+    )
+
+
+def _recommendations_check(s: Sample) -> DataFrame:
+    """Lists without seen products: sizes, ranks, known products and repeats."""
+    bought = s.interactions()
+    fitted = recommend.fit_recommender(bought, evaluate=False)
+    rows = cut_lineage(recommend.recommend_all(fitted, exclude_seen=bought))
+    products = bought.select("product_id").distinct().withColumn("known", F.lit(1))
+    seen = bought.select("customer_unique_id", "product_id").withColumn("seen", F.lit(1))
+    lists = rows.groupBy("customer_unique_id").agg(
+        F.count("*").alias("size"),
+        F.max("rank").alias("last"),
+        F.count_distinct("product_id").alias("products"),
+    )
+    marked = rows.join(products, "product_id", "left").join(
+        seen, ["customer_unique_id", "product_id"], "left"
+    )
+    pairs = marked.agg(
+        F.count("*").alias("rows"),
+        F.count_if(F.col("known").isNull()).alias("unknown_products"),
+        F.count("seen").alias("already_bought"),
+    )
+    counts = lists.agg(
+        F.count("*").alias("customers"),
+        F.count_if(F.col("size") != F.col("last")).alias("rank_gaps"),
+        F.count_if(F.col("size") != F.col("products")).alias("repeats"),
+    )
+    # Two frames of one row each.
+    return pairs.withColumn("one", F.lit(1)).join(counts.withColumn("one", F.lit(1)), "one").drop("one")
+
+
+def _forecast_check(s: Sample) -> DataFrame:
+    value, low, high = (F.col(c) for c in ("predicted_revenue", "lower_bound", "upper_bound"))
+    return s.forecast_run("linreg").forecasts.groupBy("series").agg(
+        F.min("forecast_date").alias("first_day"),
+        F.max("forecast_date").alias("last_day"),
+        F.count_distinct("forecast_date").alias("days"),
+        F.count_if(~((low <= high) & (value <= high) & (low >= 0))).alias("bad_bands"),
+    )
+
+
 def _recommendations(s: Sample) -> DataFrame:
     return recommend.recommend_all(s.fitted_recommender())
 
@@ -392,9 +457,13 @@ BUILDERS: dict[str, Callable[[Sample], DataFrame]] = {
         s.reviewed_lines(products=True)
     ),
     "category_rows": lambda s: dashboard.category_rows(s.category_metrics()),
+    "category_search": lambda s: dashboard.category_rows(s.category_metrics(), search="good"),
     "spending_top": lambda s: dashboard.spending_top(s.category_metrics()),
     "top_products": Sample.top_products,
     "top_product_rows": lambda s: dashboard.top_product_rows(s.top_products(), limit=10),
+    "product_search": lambda s: dashboard.top_product_rows(
+        s.top_products(), limit=10, search="promo"
+    ),
     "inventory_alerts": _alerts,
     "inventory_alerts_all": lambda s: _alerts(s, None),
     "alert_counts": lambda s: dashboard.alert_counts(_alerts(s, None)),
@@ -407,14 +476,19 @@ BUILDERS: dict[str, Callable[[Sample], DataFrame]] = {
     "period_kpis": lambda s: dashboard.period_totals(s.monthly(), "Last 3 Months"),
     "period_cards": _period_cards("Last 12 Months"),
     "period_cards_all_time": _period_cards("All Time"),
-    "workbench_kpis": _workbench,
+    "workbench_kpis": _workbench("Last 6 Months"),
+    "workbench_kpis_all_time": _workbench("All Time"),
     "historical_estimate": lambda s: dashboard.historical_estimate(s.monthly(), "Last 6 Months"),
-    "trend_scaled_proxy": _scaled_trend,
+    "historical_estimate_all_time": lambda s: dashboard.historical_estimate(s.monthly()),
+    "trend_scaled_proxy": _scaled_trend("Last 6 Months"),
+    "trend_scaled_proxy_all_time": _scaled_trend("All Time"),
     "trend_filtered": _filtered_trend,
     # orders and channels
     "recent_orders": Sample.recent,
     "recent_order_rows": lambda s: dashboard.recent_order_rows(s.recent()),
-    "recent_order_search": lambda s: dashboard.recent_order_rows(s.recent(), search="CANCEL"),
+    "recent_order_search": lambda s: dashboard.recent_order_rows(
+        s.described_orders(), search="CANCEL"
+    ),
     "recent_order_range": _recent_in_range,
     "orders_between": _orders_between,
     "channel_performance": Sample.channels,
@@ -454,6 +528,7 @@ BUILDERS: dict[str, Callable[[Sample], DataFrame]] = {
     "customer_rows_by_rule": lambda s: dashboard.customer_rows(
         s.clusters_by_rule(), engagement="High"
     ),
+    "customer_rows_new": lambda s: dashboard.customer_rows(s.clusters_by_rule(), segment="New"),
     "cluster_scatter_by_rule": lambda s: dashboard.cluster_scatter(s.clusters_by_rule()),
     "cluster_scatter_hashed": lambda s: dashboard.cluster_scatter(
         s.clusters_by_rule(), by_hash=True
@@ -465,6 +540,10 @@ BUILDERS: dict[str, Callable[[Sample], DataFrame]] = {
     "recommendation_tabs_most_bought": lambda s: dashboard.recommendation_tabs(
         s.shown_recommendations(s.most_bought())
     ),
+    # invariants of fitted models
+    "customer_segments_check": _segments_check,
+    "recommendations_check": _recommendations_check,
+    "sales_forecast_check": _forecast_check,
     # fitted models
     "customer_segments": Sample.fitted_segments,
     "segment_distribution": lambda s: views.segment_distribution(s.fitted_segments()),
@@ -484,6 +563,9 @@ BUILDERS: dict[str, Callable[[Sample], DataFrame]] = {
 MODEL_QUERIES = frozenset(
     {
         "customer_segments",
+        "customer_segments_check",
+        "recommendations_check",
+        "sales_forecast_check",
         "segment_distribution",
         "customer_table",
         "cluster_scatter",

@@ -22,7 +22,6 @@ from tallyloom.operators.facts import MONEY_TOTAL
 from tallyloom.plans.views import best_sellers
 
 TRAILING_MONTHS = 12
-HEATMAP_ORDERS = 5000
 # Days of the week as the heat map names them, Monday first.
 WEEKDAYS = ("Mon", "Tue", "Wed", "Thu", "Fri", "Sat", "Sun")
 
@@ -100,7 +99,7 @@ def workbench_kpis(
 ) -> DataFrame:
     """Totals of the shown trend, at-risk customers, and the last three predictions.
 
-    ``trend`` is the monthly trend with forecast, scaled or not.  All time, and
+    ``trend`` is the whole monthly trend with forecast, scaled or not.  All time, and
     a period without any month, show the summary instead of totals.
     """
     months = preset(range_name).months
@@ -152,7 +151,8 @@ def daily_bars(daily: DataFrame) -> DataFrame:
     )
 
 
-def monthly_actuals(monthly: DataFrame, months: int = TRAILING_MONTHS) -> DataFrame:
+def monthly_actuals(monthly: DataFrame, months: int | None = TRAILING_MONTHS) -> DataFrame:
+    """The trailing months; None keeps all of them."""
     return trailing(monthly, "month", months).select(
         "month",
         month_label(F.col("month")).alias("month_label"),
@@ -163,16 +163,21 @@ def monthly_actuals(monthly: DataFrame, months: int = TRAILING_MONTHS) -> DataFr
     )
 
 
-def forecast_by_month(forecasts: DataFrame) -> DataFrame:
-    return forecasts.groupBy(month_start(F.col("forecast_date")).alias("month")).agg(
+def of_series(forecasts: DataFrame, series: str) -> DataFrame:
+    """The rows of one series, where a table holds several."""
+    return forecasts.filter(F.col("series") == series) if "series" in forecasts.columns else forecasts
+
+
+def forecast_by_month(forecasts: DataFrame, series: str = "total") -> DataFrame:
+    return of_series(forecasts, series).groupBy(month_start(F.col("forecast_date")).alias("month")).agg(
         F.sum("predicted_revenue").cast("double").alias("predicted")
     )
 
 
 def monthly_with_forecast(
-    monthly: DataFrame, forecasts: DataFrame, months: int = TRAILING_MONTHS
+    monthly: DataFrame, forecasts: DataFrame, months: int | None = TRAILING_MONTHS
 ) -> DataFrame:
-    """Trailing months with the forecast where there is one, else the actual value."""
+    """Trailing months, or all, with the forecast where there is one, else the actual value."""
     actuals = monthly_actuals(monthly, months).drop("predicted")
     joined = actuals.join(forecast_by_month(forecasts), "month", "left")
     return joined.withColumn("predicted", F.coalesce("predicted", "actual"))
@@ -188,14 +193,16 @@ def trend_scaled_proxy(
     """The overall trend scaled by a category's revenue share and a region weight.
 
     Only an approximation of the filtered trend; see ``trend_filtered``.
-    ``categories`` are the shown categories with display names.
+    ``trend`` has all months and ``categories`` all categories with display
+    names; a category that is not among them gives no rows.
     """
     shown = trailing(trend, "month", preset(range_name).months)
     scale = F.lit(rules.REGION_WEIGHTS.get(region, 1.0))
     if category != "All":
         chosen = F.sum(F.when(F.col("category") == category, F.col("revenue")))
         share = categories.agg(F.try_divide(chosen, F.sum("revenue")).alias("share")).scalar()
-        scale = scale * F.coalesce(share, F.lit(1.0))
+        scale = scale * share
+        shown = shown.filter(share.isNotNull())
     return shown.withColumns({c: F.col(c) * scale for c in ("actual", "predicted")})
 
 
@@ -223,9 +230,8 @@ def trend_filtered(
 
 
 def historical_estimate(monthly: DataFrame, range_name: str = "All Time") -> DataFrame:
-    """Mean monthly revenue of the shown months; NULL unless positive."""
-    shown = trailing(monthly, "month", TRAILING_MONTHS)
-    shown = trailing(shown, "month", preset(range_name).months)
+    """Mean monthly revenue of the range's months; NULL unless positive."""
+    shown = trailing(monthly, "month", preset(range_name).months)
     totals = shown.agg(
         F.sum("revenue").cast("double").alias("total"), F.count("month").alias("months")
     )
@@ -237,15 +243,16 @@ def historical_estimate(monthly: DataFrame, range_name: str = "All Time") -> Dat
 
 
 def recent_order_rows(
-    recent: DataFrame, search: str = "", window: Column | None = None, limit: int | None = 6
+    orders: DataFrame, search: str = "", window: Column | None = None, limit: int | None = 6
 ) -> DataFrame:
-    """Recent orders for display, by date window and search text.
+    """Orders for display, by date window and search text, newest first.
 
-    The row limit only applies without a search.
+    Window and search see all rows given; only then the latest ``limit`` are
+    taken.  A search, like no limit, returns every match.
     """
     state = F.coalesce(F.concat(F.lit(" · "), F.col("customer_state")), F.lit(""))
     person = F.concat(labelled_id("Customer", F.col("customer_unique_id"), 8), state)
-    kept = recent if window is None else recent.filter(window)
+    kept = orders if window is None else orders.filter(window)
     rows = kept.select(
         short_id(F.col("order_id"), 8).alias("id"),
         F.col("order_id").alias("raw_id"),
@@ -259,18 +266,14 @@ def recent_order_rows(
     return rows.orderBy(F.col("date").desc(), "raw_id").limit(limit) if limit else rows
 
 
-def activity_heatmap(orders: DataFrame, limit: int = HEATMAP_ORDERS) -> DataFrame:
-    """Latest orders by hour and weekday, relative to the busiest cell.
+def activity_heatmap(orders: DataFrame) -> DataFrame:
+    """All orders by hour and weekday, relative to the busiest cell.
 
     Only status ``canceled`` is left out here, and so is an unknown status.
     """
-    latest = (
-        orders.filter(F.col("order_status") != "canceled")
-        .orderBy(F.col("order_purchase_timestamp").desc(), "order_id")
-        .limit(limit)
-    )
+    kept = orders.filter(F.col("order_status") != "canceled")
     bought = F.col("order_purchase_timestamp")
-    counts = latest.groupBy(
+    counts = kept.groupBy(
         F.hour(bought).alias("hour"), F.weekday(bought).alias("weekday")
     ).agg(F.count("*").alias("orders"))
     grid = (
@@ -309,29 +312,33 @@ def channel_count(channels: DataFrame) -> DataFrame:
 
 
 def category_rows(
-    categories: DataFrame, limit: int = 12, category: str = "All", search: str = ""
+    categories: DataFrame, limit: int | None = 12, category: str = "All", search: str = ""
 ) -> DataFrame:
-    """Top categories with score-based margin stand-in, band and relative intensity.
+    """Best categories that match, with score-based margin stand-in, band and intensity.
 
-    Choice and search see the fetched rows only.
+    Choice and search come first, then the top ``limit``; intensity is relative
+    to the best of all categories.
     """
-    top = categories.orderBy(F.col("revenue").desc(), "category").limit(limit)
     score = F.col("avg_review_score")
-    # At most ``limit`` rows reach this window.
-    highest = F.greatest(F.max(F.col("revenue").cast("double")).over(Window.partitionBy()), F.lit(1.0))
-    rows = top.select(
+    revenue = F.col("revenue").cast("double")
+    # One row for each category reaches this window.
+    highest = F.greatest(F.max(revenue).over(Window.partitionBy()), F.lit(1.0))
+    rows = categories.select(
         title_case(F.col("category")).alias("category"),
-        F.col("revenue").cast("double").alias("revenue"),
+        F.col("category").alias("raw"),
+        revenue.alias("revenue"),
         rules.margin_proxy(score).alias("margin_proxy"),
         "order_count",
         "units_sold",
         score.cast("double").alias("review_score"),
         rules.quality_band(score).alias("quality_band"),
-        (F.col("revenue").cast("double") / highest).alias("intensity"),
+        (revenue / highest).alias("intensity"),
     )
-    return rows.filter(
+    kept = rows.filter(
         equals_unless_all("category", category) & contains_any(["category"], search)
     )
+    top = kept if limit is None else kept.orderBy(F.col("revenue").desc(), "raw").limit(limit)
+    return top.drop("raw")
 
 
 def spending_top(categories: DataFrame, limit: int = 6) -> DataFrame:
@@ -360,15 +367,14 @@ def segment_total(distribution: DataFrame) -> DataFrame:
 def customer_rows(
     clusters: DataFrame,
     limit: int = 8,
-    fetched: int = 50,
     segment: str = "All",
     engagement: str = "All",
     search: str = "",
 ) -> DataFrame:
-    """Best customers by value, then filtered: the filters see the fetched rows only."""
-    top = clusters.orderBy(F.col("monetary").desc(), "customer_unique_id").limit(fetched)
+    """The best customers by value among those that match all filters."""
     person = F.col("customer_unique_id")
-    rows = top.select(
+    rows = clusters.select(
+        "monetary",
         short_id(person, 16).alias("id"),
         person.alias("raw_id"),
         labelled_id("Customer", person, 6).alias("name"),
@@ -383,22 +389,21 @@ def customer_rows(
             & equals_unless_all("engagement", engagement)
             & contains_any(["name", "id", "segment"], search)
         )
-        .orderBy(F.col("ltv").desc(), "raw_id")
+        .orderBy(F.col("monetary").desc(), "raw_id")
         .limit(limit)
+        .drop("monetary")
     )
 
 
 def cluster_scatter(clusters: DataFrame, limit: int = 500, by_hash: bool = False) -> DataFrame:
     """Rows for a scatter plot: longest idle first, or an even pick by hashed id.
 
-    Rows without label or value are dropped after the limit.
+    Rows without label or value take no part.
     """
     person = F.col("customer_unique_id")
     rank = F.md5(person.cast("string")) if by_hash else F.col("recency_days").desc()
-    sample = clusters.orderBy(rank, person).limit(limit)
-    return sample.filter(
-        F.col("segment_label").isNotNull() & F.col("monetary").isNotNull()
-    ).select(
+    shown = clusters.filter(F.col("segment_label").isNotNull() & F.col("monetary").isNotNull())
+    return shown.orderBy(rank, person).limit(limit).select(
         F.col("segment_label").alias("cluster"),
         F.col("frequency"),
         F.col("monetary").cast("double").alias("monetary"),
@@ -414,15 +419,18 @@ def _product_name() -> Column:
 
 
 def top_product_rows(products: DataFrame, limit: int = 4, search: str = "") -> DataFrame:
-    """Best-selling products with their labels; searching keeps the fetched rows."""
+    """Best-selling products that match the search, with their labels and their rank."""
     score = F.col("avg_review_score")
     trend = rules.trend_proxy(score)
     # The limit comes first, so the ranking window holds at most ``limit`` rows.
     by_revenue = Window.orderBy(F.col("total_revenue").desc(), "product_id")
-    rows = best_sellers(products).limit(limit).select(
-        short_id(F.col("product_id"), 8).alias("id"),
+    named = products.withColumns(
+        {"shown_id": short_id(F.col("product_id"), 8), "shown_name": _product_name()}
+    ).filter(contains_any(["shown_name", "shown_id"], search))
+    return best_sellers(named).limit(limit).select(
+        F.col("shown_id").alias("id"),
         F.col("product_id").alias("raw_id"),
-        _product_name().alias("name"),
+        F.col("shown_name").alias("name"),
         title_case(F.coalesce("category", F.lit("Other"))).alias("category"),
         F.col("total_revenue").cast("double").alias("revenue"),
         trend.alias("trend_proxy"),
@@ -435,7 +443,6 @@ def top_product_rows(products: DataFrame, limit: int = 4, search: str = "") -> D
         score.cast("double").alias("review_score"),
         F.row_number().over(by_revenue).alias("rank"),
     )
-    return rows.filter(contains_any(["name", "id"], search))
 
 
 def _idle_days(as_of: Column) -> Column:
@@ -492,16 +499,12 @@ def customer_recommendations(
     limit: int = 4,
     search: str = "",
 ) -> DataFrame:
-    """The best recommendations for one customer."""
+    """The best recommendations for one customer among those that match the search."""
     chosen = pick_customer(recommendations) if customer is None else customer
     category = title_case(F.coalesce("category", F.lit("Product")))
     rank = F.coalesce("rank", F.lit(1))
-    top = (
-        recommendations.filter(F.col("customer_unique_id") == chosen)
-        .orderBy("rank", "product_id")
-        .limit(limit)
-    )
-    rows = top.select(
+    theirs = recommendations.filter(F.col("customer_unique_id") == chosen)
+    rows = theirs.select(
         F.concat_ws(" · ", category, short_id(F.col("product_id"), 4)).alias("id"),
         "product_id",
         rules.price_proxy(F.col("total_revenue"), rank).alias("price_proxy"),
@@ -511,7 +514,8 @@ def customer_recommendations(
         category.alias("category"),
         F.col("avg_review_score").cast("double").alias("review_score"),
     )
-    return rows.filter(contains_any(["id", "category"], search))
+    kept = rows.filter(contains_any(["id", "category"], search))
+    return kept.orderBy("rank", "product_id").limit(limit)
 
 
 def recommendation_tabs(recommendations: DataFrame, limit: int = 3) -> DataFrame:
@@ -530,7 +534,7 @@ def recommendation_tabs(recommendations: DataFrame, limit: int = 3) -> DataFrame
 
 
 def model_cards(latest_runs: DataFrame, limit: int = 4, search: str = "") -> DataFrame:
-    """Metric cards in a fixed order of importance."""
+    """The first metric cards that match the search, in a fixed order of importance."""
     key = F.concat_ws("__", "model_name", "metric_name")
     known = F.array(*[F.lit(name) for name in rules.METRIC_TITLES])
     position = F.array_position(known, key)
@@ -549,18 +553,19 @@ def model_cards(latest_runs: DataFrame, limit: int = 4, search: str = "") -> Dat
         F.col("trained_at"),
         priority.alias("priority"),
     )
-    top = cards.orderBy("priority", F.col("trained_at").desc(), "model", "metric").limit(limit)
-    return top.drop("priority").filter(contains_any(["model", "metric", "name"], search))
+    kept = cards.filter(contains_any(["model", "metric", "name"], search))
+    top = kept.orderBy("priority", F.col("trained_at").desc(), "model", "metric").limit(limit)
+    return top.drop("priority")
 
 
 def model_count(latest_runs: DataFrame) -> DataFrame:
     return latest_runs.agg(F.count_distinct("model_name").alias("models"))
 
 
-def forecast_summary(forecasts: DataFrame) -> DataFrame:
-    """Totals of a forecast; a missing bound counts as the point estimate."""
+def forecast_summary(forecasts: DataFrame, series: str = "total") -> DataFrame:
+    """Totals of one series' forecast; a missing bound counts as the point estimate."""
     value = F.coalesce(F.col("predicted_revenue"), F.lit(0))
-    return forecasts.agg(
+    return of_series(forecasts, series).agg(
         F.sum(value).cast("double").alias("predicted_total"),
         F.sum(F.coalesce(F.col("lower_bound"), value)).cast("double").alias("lower"),
         F.sum(F.coalesce(F.col("upper_bound"), value)).cast("double").alias("upper"),

@@ -60,14 +60,34 @@ def revenue_daily_7d(paid: DataFrame) -> DataFrame:
         F.count("order_id").alias("order_count"),
         F.sum("order_total_paid").cast(MONEY_TOTAL).alias("revenue"),
     )
-    last_day = per_day.agg(F.max("day").alias("last_day")).scalar()
-    return per_day.filter(F.col("day") > F.date_sub(last_day, 7))
+    # One row for each day reaches this window.
+    last_day = F.max("day").over(Window.partitionBy())
+    dated = per_day.withColumn("last_day", last_day)
+    return dated.filter(F.col("day") > F.date_sub("last_day", 7)).drop("last_day")
 
 
 def latest_orders(orders: DataFrame, limit: int) -> DataFrame:
     return orders.orderBy(F.col("order_purchase_timestamp").desc(), "order_id").limit(limit)
 
 
+def described_orders(orders: DataFrame, customers: DataFrame, payments: DataFrame) -> DataFrame:
+    """Every order with its customer and payment total."""
+    totals = payments.groupBy("order_id").agg(F.sum("payment_value").alias("order_total"))
+    people = customers.select("customer_id", "customer_unique_id", "customer_state")
+    return (
+        orders.join(people, "customer_id", "left")
+        .join(totals, "order_id", "left")
+        .select(
+            "order_id",
+            "order_status",
+            "order_purchase_timestamp",
+            "customer_unique_id",
+            "customer_state",
+            F.coalesce("order_total", F.lit(0)).cast(MONEY_TOTAL).alias("order_total"),
+        )
+    )
+
+
 def recent_orders(
     orders: DataFrame,
     customers: DataFrame,
@@ -75,33 +95,18 @@ def recent_orders(
     limit: int = RECENT_ORDERS,
     payments_are_raw: bool = False,
 ) -> DataFrame:
-    """The latest orders with their customer and payment total.
+    """The latest ``limit`` orders with their customer and payment total.
 
-    The limit is taken before anything is joined.  The chosen orders number at
-    most ``limit``, so they are broadcast to pick their payments out, and
-    cleaning, whose keys contain the order, may follow that choice.
+    The limit is taken before anything is joined, and cleaning, whose keys
+    contain the order, may follow the choice of payments.
     """
     chosen = latest_orders(orders, limit)
-    ids = F.broadcast(chosen.select("order_id"))
-    theirs = payments.join(ids, "order_id", "left_semi")
+    theirs = payments.join(chosen.select("order_id"), "order_id", "left_semi")
     if payments_are_raw:
         theirs = clean_order_payments(theirs)
-    totals = theirs.groupBy("order_id").agg(F.sum("payment_value").alias("order_total"))
-    people = customers.select("customer_id", "customer_unique_id", "customer_state").join(
-        F.broadcast(chosen.select("customer_id")), "customer_id", "left_semi"
-    )
-    return (
-        chosen.join(people, "customer_id", "left")
-        .join(totals, "order_id", "left")
-        .select(
-            "order_id",
-            "order_status",
-            "order_purchase_timestamp",
-            "customer_unique_id",
-            "customer_state",
-            F.coalesce("order_total", F.lit(0)).cast(MONEY_TOTAL).alias("order_total"),
-        )
-        .orderBy(F.col("order_purchase_timestamp").desc(), "order_id")
+    people = customers.join(chosen.select("customer_id"), "customer_id", "left_semi")
+    return described_orders(chosen, people, theirs).orderBy(
+        F.col("order_purchase_timestamp").desc(), "order_id"
     )
 
 
@@ -111,7 +116,8 @@ def channel_performance(payments: DataFrame) -> DataFrame:
         F.sum("payment_value").cast(MONEY_TOTAL).alias("revenue"),
         F.count_distinct("order_id").alias("order_count"),
     )
-    total = payments.agg(F.sum("payment_value").cast("double").alias("total")).scalar()
+    # A handful of channels reaches this window.
+    total = F.sum("revenue").over(Window.partitionBy()).cast("double")
     share = F.try_divide(F.col("revenue").cast("double"), total)
     return per_channel.withColumn("pct_of_total", F.round(share * 100.0, 2))
 
@@ -155,14 +161,13 @@ def best_sellers(products: DataFrame) -> DataFrame:
 def top_recommendations(
     recommendations: DataFrame, products: DataFrame, categories: DataFrame, metrics: DataFrame
 ) -> DataFrame:
-    """Recommendations of the latest run with category, review score and revenue."""
-    latest_run = recommendations.agg(F.max("generated_at").alias("latest")).scalar()
+    """Each customer's latest run of recommendations with category, review score and revenue."""
+    newest = F.max("generated_at").over(Window.partitionBy("customer_unique_id"))
+    current = recommendations.withColumn("newest", newest).filter("generated_at = newest")
     labels = enrich_products(products, categories).select("product_id", "category")
     scores = metrics.select("product_id", "avg_review_score", "total_revenue")
     described = labels.join(scores, "product_id", "left")
-    return recommendations.filter(F.col("generated_at") == latest_run).join(
-        described, "product_id"
-    ).select(
+    return current.join(described, "product_id").select(
         "customer_unique_id",
         "product_id",
         "rank",

@@ -40,6 +40,7 @@ class WorkflowConfig:
     als: recommend.AlsSettings = field(default_factory=recommend.AlsSettings)
     forecast_model: str = "randomforest"
     forecast_trees: int = forecast.TREES
+    forecast_depth: int = forecast.TREE_DEPTH
     horizon: int = forecast.HORIZON
     holdout_days: int = forecast.HOLDOUT_DAYS
 
@@ -136,6 +137,7 @@ def run_forecast(spark: SparkSession, config: WorkflowConfig) -> DataFrame:
         horizon=config.horizon,
         holdout_days=config.holdout_days,
         trees=config.forecast_trees,
+        depth=config.forecast_depth,
     )
     written = write_parquet(run.forecasts, config.path("sales_forecasts"))
     params = {"model": run.model_name, "horizon": config.horizon, "days": run.days}
@@ -160,7 +162,7 @@ def run_analytics(spark: SparkSession, config: WorkflowConfig) -> dict[str, Data
     if "forecast" in steps:
         try:
             done["sales_forecasts"] = run_forecast(spark, config)
-        except Exception as error:
+        except ValueError as error:  # no series is long enough
             LOG.warning("forecast skipped: %s", error)
     return done
 

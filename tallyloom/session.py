@@ -7,8 +7,6 @@ AQE coalescing unless the caller passes a number (local runs do).
 
 from __future__ import annotations
 
-import tempfile
-
 from pyspark.sql import DataFrame, SparkSession
 
 RUNTIME_DEFAULTS = {
@@ -47,16 +45,18 @@ def apply_runtime_defaults(spark: SparkSession) -> SparkSession:
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Shared checkpoint folder: the configured one, else a scratch one in local mode."""
+    """Shared checkpoint folder: the one that spark.checkpoint.dir names.
+
+    Where it is unset, one below the warehouse, which all executors share too.
+    """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
     if current:
         return current
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if not configured:
-        if not sc.master.startswith("local"):
-            raise ValueError("spark.checkpoint.dir must name a folder every executor can reach")
-        configured = tempfile.mkdtemp(prefix="tallyloom-checkpoint-")
+        warehouse = spark.conf.get("spark.sql.warehouse.dir").rstrip("/")
+        configured = f"{warehouse}/tallyloom-checkpoints"
     sc.setCheckpointDir(configured)
     return configured
 

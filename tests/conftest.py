@@ -16,12 +16,16 @@ SAMPLE_FOLDER = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.01")
 
 
 @pytest.fixture(scope="session")
-def spark():
+def spark(tmp_path_factory):
     session = build_session(
         "tallyloom-tests",
         master="local[8]",
         shuffle_partitions=8,
-        extra={"spark.ui.enabled": "false", "spark.driver.memory": "8g"},
+        extra={
+            "spark.ui.enabled": "false",
+            "spark.driver.memory": "8g",
+            "spark.checkpoint.dir": str(tmp_path_factory.mktemp("shared")),
+        },
     )
     session.sparkContext.setLogLevel("ERROR")
     yield session

@@ -102,8 +102,9 @@ def test_scaled_trend(spark, monthly):
     )
     (row,) = as_dicts(scaled)
     assert row["actual"] == pytest.approx(300 * 0.25 * 0.65)
-    (same,) = as_dicts(dashboard.trend_scaled_proxy(trend, categories, "Cars", range_name="Last 7 Days"))
-    assert same["actual"] == 300.0
+    assert not as_dicts(dashboard.trend_scaled_proxy(trend, categories, "Cars"))
+    whole = dashboard.trend_scaled_proxy(dashboard.monthly_actuals(monthly, None), categories)
+    assert whole.count() == monthly.count()
 
 
 def test_historical_estimate(monthly):
@@ -135,7 +136,7 @@ def test_heatmap_grid_is_complete(spark):
     assert len(cells) == 168
     assert cells[5, "Mon"].value == 1.0 and cells[23, "Sun"].value == 0.5
     assert cells[5, "Tue"].orders == 0
-    assert sum(r.orders for r in dashboard.activity_heatmap(orders, limit=1).collect()) == 1
+    assert sum(r.orders for r in cells.values()) == 3
     empty = dashboard.activity_heatmap(orders.limit(0)).collect()
     assert len(empty) == 168 and {r.value for r in empty} == {0.0}
 
@@ -158,16 +159,17 @@ def test_unknown_customer_is_anonymous(tables):
     assert {r["customer"] for r in as_dicts(dashboard.recent_order_rows(recent))} == {"Anonymous"}
 
 
-def test_customer_rows_filter_the_fetched_rows_only(spark):
+def test_customer_rows_filter_before_the_limit(spark):
     rows = [(f"person{i:02d}", 10 - i, float(i), i * 40, "VIP" if i % 2 else None) for i in range(8)]
     clusters = spark.createDataFrame(
         rows, "customer_unique_id string, frequency int, monetary double, recency_days int, segment_label string"
     )
-    shown = as_dicts(dashboard.customer_rows(clusters, fetched=3))
+    shown = as_dicts(dashboard.customer_rows(clusters, limit=3))
     assert [r["raw_id"] for r in shown] == ["person07", "person06", "person05"]
     assert [r["segment"] for r in shown] == ["VIP", "Loyal", "VIP"]
     assert [r["engagement"] for r in shown] == ["High", "High", "High"]
-    assert [r["raw_id"] for r in as_dicts(dashboard.customer_rows(clusters, segment="Loyal", fetched=3))] == ["person06"]
+    loyal = as_dicts(dashboard.customer_rows(clusters, limit=3, segment="Loyal"))
+    assert [r["raw_id"] for r in loyal] == ["person06", "person04", "person02"]
     assert as_dicts(dashboard.customer_rows(clusters, search="PERSON00", fetched=3)) == []
 
 
@@ -247,3 +249,26 @@ def test_top_recommendations_show_the_latest_run(spark, tables):
     assert [(r["product_id"], r["category"], r["total_revenue"]) for r in shown] == [
         ("p2", "toys", None)
     ]
+
+
+def test_search_sees_rows_behind_the_limit(spark):
+    rows = [(f"c{k}", float(100 - k), 4, 4, 4.0) for k in range(20)] + [("toys", 1.0, 1, 1, 4.0)]
+    categories = spark.createDataFrame(
+        rows, "category string, revenue double, order_count int, units_sold int, avg_review_score double"
+    )
+    (found,) = as_dicts(dashboard.category_rows(categories, search="toy"))
+    assert found["category"] == "Toys" and found["intensity"] == 0.01
+    assert dashboard.category_rows(categories).count() == 12
+
+
+def test_scatter_leaves_out_rows_before_the_limit(spark):
+    rows = [(f"p{k}", k, 1, None if k % 2 else 5.0, "VIP") for k in range(20)]
+    clusters = spark.createDataFrame(
+        rows, "customer_unique_id string, recency_days int, frequency int, monetary double, segment_label string"
+    )
+    assert dashboard.cluster_scatter(clusters, limit=8).count() == 8
+
+
+def test_unknown_range_is_an_error(monthly):
+    with pytest.raises(ValueError, match="unknown range"):
+        dashboard.period_totals(monthly, "Last Decade")

@@ -140,6 +140,12 @@ def test_recommender(spark, bought):
     per_user = {}
     for row in rows:
         per_user.setdefault(row.customer_unique_id, []).append((row["rank"], row.score))
+    unseen = recommend.recommend_all(fitted, exclude_seen=bought)
+    pairs = {(r[0], r[1]) for r in unseen.select("customer_unique_id", "product_id").collect()}
+    assert not pairs & {(r[0], r[1]) for r in bought.collect()}
+    assert len(pairs) == len(users) * 5
+    lists = unseen.groupBy("customer_unique_id").agg(F.max("rank"), F.count("*"))
+    assert {(r[1], r[2]) for r in lists.collect()} == {(5, 5)}
     for ranked in per_user.values():
         ranked.sort()
         assert [r for r, _ in ranked] == [1, 2, 3, 4, 5]
@@ -251,6 +257,13 @@ def test_forecast_run(spark, kind):
         assert rows[0].predicted_revenue == pytest.approx(wave(100), rel=0.05)
 
 
+def test_short_series_are_reported_and_long_ones_forecast(spark):
+    data = series(spark, "long", map(wave, range(100))).union(series(spark, "short", range(10)))
+    run = forecast.run_forecast(data, "linreg", horizon=5)
+    assert {r.series for r in run.forecasts.collect()} == {"long"} and run.forecasts.count() == 5
+    assert [tuple(r) for r in run.short_series.collect()] == [("short", 10)]
+
+
 def test_short_series_and_unknown_models_are_errors(spark):
     with pytest.raises(ValueError, match="44"):
         forecast.run_forecast(series(spark, "a", range(43)))

@@ -36,6 +36,12 @@ def test_snapshots_read_every_table_once(spark, sample_folder):
     assert plan.count("orders.parquet") == 2
 
 
+@pytest.mark.parametrize("name", ["product_metrics", "interaction_split", "channel_performance"])
+def test_one_scan_of_the_lines_is_enough(name, spark, sample_folder):
+    # Product measures are written once, so their plan has no scan of the lines left.
+    assert plan_of(all_queries()[name](spark, sample_folder)).count("lineitem.parquet") <= 1
+
+
 def test_scans_are_pruned(spark, sample_folder):
     plan = plan_of(all_queries()["revenue_daily"](spark, sample_folder))
     scan = re.search(r"lineitem\.parquet.*?ReadSchema: struct<([^>]*)>", plan, re.S).group(1)
