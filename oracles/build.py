@@ -111,7 +111,13 @@ QUERIES: dict[str, tuple[tuple[str, ...], str]] = {
         f"SELECT * REPLACE ({_doubles('payment_value')}) FROM c_payments",
     ),
     "clean_order_reviews": (("c_reviews",), "SELECT * FROM c_reviews"),
-    "reviews_from_csv": (("c_reviews",), "SELECT * FROM c_reviews"),
+    "reviews_from_csv": (
+        ("c_reviews",),
+        """
+SELECT c.* REPLACE (CASE WHEN lang IS NOT NULL THEN 'says "' || lang || '", or not' END
+    AS review_comment_title, text AS review_comment_message)
+FROM c_reviews c LEFT JOIN documents ON doc_id = review_id""",
+    ),
     "snapshots_from_fact_table": (("snaps",), "SELECT * FROM snaps"),
     "categories_augmented": (("all_categories",), "SELECT * FROM all_categories"),
     "payments_per_order": (

@@ -333,10 +333,29 @@ def _fresh_folder(s: Sample, name: str) -> str:
 
 
 def _reviews_from_csv(s: Sample) -> DataFrame:
-    """Raw reviews landed as CSV files, scanned back and cleaned."""
+    """Raw reviews landed as CSV files, scanned back and cleaned.
+
+    Documents give the comments, so that quotes and line ends are scanned.
+    """
     raw = sample.raw_order_reviews(s.spark, s.folder)
+    comments = sample.read_table(s.spark, s.folder, "documents").select(
+        F.col("doc_id").alias("review_id"),
+        F.concat(F.lit('says "'), "lang", F.lit('", or not')).alias("review_comment_title"),
+        F.col("text").alias("review_comment_message"),
+    )
+    columns = raw.columns
+    raw = (
+        raw.drop("review_comment_title", "review_comment_message")
+        .join(comments, "review_id", "left")
+        .select(*columns)
+    )
     folder = _fresh_folder(s, "reviews-csv")
-    raw.write.options(header=True, escape='"').csv(folder)
+    raw.write.options(
+        header=True,
+        escape='"',
+        ignoreLeadingWhiteSpace=False,
+        ignoreTrailingWhiteSpace=False,
+    ).csv(folder)
     return clean_order_reviews(scan_csv(s.spark, folder, raw.schema, multi_line=True))
 
 
