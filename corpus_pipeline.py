@@ -41,12 +41,14 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     """
     bounded_batches(spark)
     found = jaccard_components(docs).where("doc_id <=> component_id")
-    stay = found.select(F.col("doc_id").alias("stay_id")).distinct()
+    stay = found.groupBy(F.col("doc_id").alias("stay_id")).agg(F.count("*").alias("copies"))
     plain, (doc_id, text) = plain_columns(docs, "doc_id", "text")
-    kept = plain.join(stay, plain[doc_id].eqNullSafe(stay["stay_id"]), "left_semi")
+    kept = plain.join(stay, plain[doc_id].eqNullSafe(stay["stay_id"]))
+    # Only rows whose id repeats are compared; the others are not shuffled again.
     same = Window.partitionBy(doc_id, F.xxhash64(text)).orderBy(F.lit(0))
-    once = kept.withColumn("turn", F.row_number().over(same)).where("turn = 1")
-    return named_again(once, docs)
+    repeated = kept.where("copies > 1").withColumn("turn", F.row_number().over(same))
+    once = kept.where("copies = 1").withColumn("turn", F.lit(1)).union(repeated)
+    return named_again(once.where("turn = 1"), docs)
 
 
 def repeated_strings(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -32,7 +32,7 @@ SKETCH_BITS = 20
 SLICES = 64
 FILTER_BITS = 23
 BLOCK_NODES = 256
-BUCKET_BYTES = 8 << 20
+BUCKET_NODES = 1024
 COLUMNS_AT_ONCE = 4096
 
 
@@ -235,7 +235,10 @@ def node_filter(nodes: DataFrame) -> np.ndarray:
 
 
 def node_sets(rows: DataFrame, nodes: DataFrame, size: int) -> DataFrame:
-    """(node, shingles) of the given nodes, computed again from the texts."""
+    """(node, shingles) of the given nodes, computed again from the texts.
+
+    A node may come once from every task, and a few other nodes may pass.
+    """
     passing = rows.sparkSession.sparkContext.broadcast(node_filter(nodes))
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -253,8 +256,7 @@ def node_sets(rows: DataFrame, nodes: DataFrame, size: int) -> DataFrame:
                 ["node", "shingles"],
             )
 
-    found = rows.mapInArrow(run, "node long, shingles binary")
-    return found.join(nodes, "node", "left_semi").dropDuplicates(["node"])
+    return rows.mapInArrow(run, "node long, shingles binary")
 
 
 def links_of_block(nodes: np.ndarray, sets: list[np.ndarray], percent: int) -> np.ndarray:
@@ -301,16 +303,19 @@ def verified_links(families: DataFrame, sets: DataFrame, percent: int) -> DataFr
             F.greatest("own", "other").cast("int").alias("j"),
         )
     )
-    bytes_ = sets.agg(F.coalesce(F.sum(F.length("shingles")), F.lit(0))).first()[0]
-    buckets = max(int(spark.conf.get("spark.sql.shuffle.partitions")), bytes_ // BUCKET_BYTES + 1)
-    work = placed.join(sets, "node").withColumn(
+    least = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    buckets = max(least, families.count() // BUCKET_NODES + 1)
+    work = sets.join(placed, "node").withColumn(
         "bucket", F.pmod(F.xxhash64("root", "i", "j"), F.lit(buckets))
     )
 
     def compare(table: pa.Table) -> pa.Table:
         node, root, i, j = (table.column(c).to_numpy() for c in ("node", "root", "i", "j"))
         order = np.lexsort((node, j, i, root))
-        keys = np.stack([root[order], i[order], j[order]])
+        keys = np.stack([root[order], i[order], j[order], node[order]])
+        # Copies of a set that several tasks have sent count once.
+        once = np.concatenate([[True], (keys[:, 1:] != keys[:, :-1]).any(axis=0)])
+        order, keys = order[once], keys[:3, once]
         heads = np.flatnonzero(
             np.concatenate([[True], (keys[:, 1:] != keys[:, :-1]).any(axis=0)])
         )
@@ -359,7 +364,7 @@ def jaccard_components(
     )
     candidates = candidate_edges(written(several, "prefix-entries"), percent, hot_list)
     families = written(connected_components(candidates), "families")
-    sets = written(node_sets(texts, families.select("node"), shingle_words), "family-sets")
+    sets = node_sets(texts, families.select("node"), shingle_words)
     links = verified_links(families, sets, percent)
     roots = connected_components(links)
     placed = members.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
