@@ -19,6 +19,10 @@ from tallyloom.llm.shared import bounded_batches, named_again, plain_columns, wr
 from tallyloom.llm.suffix_dedup import remove_repeats
 
 
+# Bytes of a repeated string; 99 in 100 passages of 51 words in the sample tables are longer.
+REPEATED_BYTES = 200
+
+
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that importance resampling draws; null texts have weight 0."""
     bounded_batches(spark)
@@ -52,13 +56,13 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 
 def repeated_strings(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """All documents without the strings of 400 bytes that repeat; n_chars follows the text.
+    """All documents without the strings of REPEATED_BYTES bytes that repeat; n_chars follows the text.
 
     A cut inside a character leaves a replacement character.  A null text stays null.
     """
     bounded_batches(spark)
     plain, (doc_id, text, n_chars) = plain_columns(docs, "doc_id", "text", "n_chars")
-    cut = remove_repeats(plain, doc_id=doc_id, text=text)
+    cut = remove_repeats(plain, length=REPEATED_BYTES, doc_id=doc_id, text=text)
     left = F.make_valid_utf8(F.col("kept").cast("string"))
     changed = F.col("n_removed") > 0
     cut = cut.withColumn(text, F.when(changed, left).otherwise(F.col(text)))
