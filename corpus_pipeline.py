@@ -21,6 +21,8 @@ from tallyloom.llm.suffix_dedup import remove_repeats
 
 # Bytes of a repeated string; 99 in 100 passages of 51 words in the sample tables are longer.
 REPEATED_BYTES = 200
+# Near copies: shingles of five words, of which four in five are common.
+NEAR_WORDS, NEAR_PERCENT = 5, 80
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -44,7 +46,8 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     own unless its text links to another row.
     """
     bounded_batches(spark)
-    found = jaccard_components(docs).where("doc_id <=> component_id")
+    found = jaccard_components(docs, shingle_words=NEAR_WORDS, percent=NEAR_PERCENT)
+    found = found.where("doc_id <=> component_id")
     stay = found.groupBy(F.col("doc_id").alias("stay_id")).agg(F.count("*").alias("copies"))
     plain, (doc_id, text) = plain_columns(docs, "doc_id", "text")
     kept = plain.join(stay, plain[doc_id].eqNullSafe(stay["stay_id"]))

@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
+import random
+
 from pyspark.sql import functions as F
 
 import corpus_pipeline
+from llm.helpers import components
 
 
 def test_repeated_passage_of_51_words_goes_from_different_surroundings(spark, sample_folder):
@@ -23,3 +26,20 @@ def test_repeated_passage_of_51_words_goes_from_different_surroundings(spark, sa
         assert text == "".join(around[k])  # the spaces around the passage repeat with it
         assert found[k]["n_chars"] == len(text)
     assert found[9]["text"] == "nothing of this repeats"
+
+
+def test_near_copies_at_five_words_and_four_in_five_go(spark, sample_folder):
+    draw, rows = random.Random(8), []
+    for g in range(12):
+        base = [f"g{g}w{k}" for k in range(100)]
+        rows.append((len(rows), " ".join(base)))
+        for edits in (1, 2, 3, 4):
+            own = list(base)
+            for at in draw.sample(range(0, 100, 7), edits):
+                own[at] = f"e{len(rows)}"
+            rows.append((len(rows), " ".join(own)))
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    kept = sorted(r["doc_id"] for r in corpus_pipeline.near_duplicates(spark, docs, sample_folder).collect())
+    expected = {c for _, _, c in components(rows, 5, 80)}
+    assert kept == sorted(expected)
+    assert expected != {c for _, _, c in components(rows)}
