@@ -196,15 +196,19 @@ def exact_top_k(
     Components become floor(scale * x); the score is the integer inner product,
     ties go to the smaller vec_id.  Null vectors and those with null or
     non-finite components take no part, rows with the query's id are not its
-    candidates, and a repeated query id is answered once.  Scores must stay
+    candidates, and a repeated query id is answered once.  Rows equal in id and
+    scaled vector are one candidate; rows of one id with different scaled
+    vectors are candidates of their own, each with its rank.  Scores must stay
     below 2^47, which the search checks.
     """
     floor = F.transform("v", lambda x: F.floor(x * F.lit(scale)).cast("double"))
     rows = usable_vectors(vectors, vec_id, vector, zeros=True).withColumn("v", floor)
+    rows = rows.dropDuplicates(["vec_id", "v"])
     asked = usable_vectors(queries, vec_id, vector, zeros=True).withColumn("v", floor)
     asked = asked.dropDuplicates(["vec_id"])
-    n, m, top = *(x.count() for x in (rows, asked)), rows.agg(F.max(F.aggregate(
-        "v", F.lit(0.0), lambda s, x: s + x * x))).first()[0]
+    square = F.aggregate("v", F.lit(0.0), lambda s, x: s + x * x)
+    n, top = rows.agg(F.count("*"), F.max(square)).first()
+    m = asked.count()
     if top and top >= 2.0**47:
         raise ValueError("inner products of the scaled vectors may reach 2^47")
     blocks, parts = -(-n // BLOCK) or 1, -(-m // QUERY_BLOCK) or 1
@@ -247,4 +251,4 @@ def exact_top_k(
 
     pairs = own.groupBy("part", "task").cogroup(some.groupBy("part", "task"))
     found = pairs.applyInArrow(search, "query_id long, vec_id long, score long")
-    return best_ranked(found.dropDuplicates(["query_id", "vec_id", "score"]), k)
+    return best_ranked(found, k)

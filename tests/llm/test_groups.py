@@ -143,6 +143,28 @@ def test_adaptive_scan_recall_and_scores(spark):
         assert r["score"] == pytest.approx(float(arrays[r["query_id"]] @ arrays[r["vec_id"]]), abs=1e-12)
 
 
+def with_copies(spark, seed=3):
+    """Rows with a near candidate repeated 60 times and one id with three vectors."""
+    draw = np.random.default_rng(seed)
+    rows = [(k, draw.standard_normal(8).round(1).tolist()) for k in range(200)]
+    rows += [(0, rows[0][1])] * 60 + [(1, [4.0] * 8), (1, [3.0] * 8)]
+    return rows, spark.createDataFrame(rows, "vec_id long, embedding array<double>").repartition(3)
+
+
+@pytest.mark.parametrize("search, scale", [(exact_top_k, 64)])
+def test_repeated_candidates_take_one_place(spark, search, scale):
+    rows, df = with_copies(spark)
+    cut = np.floor if scale > 1 else np.array
+    candidates = {(i, tuple(cut(scale * np.array(v)))) for i, v in rows}
+    queries = spark.createDataFrame([(900, rows[0][1])], "vec_id long, embedding array<double>")
+    query = cut(scale * np.array(rows[0][1]))
+    expected = sorted(((-float(query @ np.array(v)), i) for i, v in candidates))[:20]
+    more = {} if search is exact_top_k else {"probe_share": 1.0}
+    found = search(df, queries, **more).orderBy("rank").collect()
+    assert [(r["rank"], r["vec_id"]) for r in found] == [(n + 1, i) for n, (_, i) in enumerate(expected)]
+    assert [r["score"] for r in found] == pytest.approx([-s for s, _ in expected])
+
+
 def test_searches_without_rows_or_with_few(spark):
     _, df = vectors(spark)
     empty = df.limit(0)
