@@ -133,11 +133,13 @@ def nearest(
     `probe_share` of the lists are probed; on vectors without any clusters 0.6
     finds more than nine in ten.  Null, zero and non-finite vectors take no
     part, rows with the query's id are not its candidates, ties go to the
-    smaller vec_id, and a repeated query id is answered once.  The score is the
-    double inner product of the original vectors.
+    smaller vec_id, and a repeated query id is answered once.  Rows equal in id
+    and vector are one candidate; rows of one id with different vectors are
+    candidates of their own, each with its rank.  The score is the double inner
+    product of the original vectors.
     """
     spark = vectors.sparkSession
-    rows = usable_vectors(vectors, vec_id, vector, zeros=False)
+    rows = usable_vectors(vectors, vec_id, vector, zeros=False).dropDuplicates(["vec_id", "v"])
     asked = usable_vectors(queries, vec_id, vector, zeros=False).dropDuplicates(["vec_id"])
     square = F.aggregate("v", F.lit(0.0), lambda s, x: s + x * x)
     n, norm2 = rows.agg(F.count("*"), F.max(square)).first()
@@ -164,7 +166,7 @@ def nearest(
     listed = rows.mapInArrow(assign, "vec_id long, v array<double>, list int")
     tasks, parts = -(-n // ROWS_AT_ONCE), -(-m // QUERY_BLOCK)
     # A list larger than its share of a task's rows is dealt over several tasks.
-    share = F.pmod(F.xxhash64("vec_id"), F.lit(max(1, tasks * 4 // lists)))
+    share = F.pmod(F.xxhash64("vec_id", "v"), F.lit(max(1, tasks * 4 // lists)))
     some = listed.select(
         "vec_id",
         "v",
@@ -210,4 +212,4 @@ def nearest(
 
     pairs = own.groupBy("part", "task").cogroup(some.groupBy("part", "task"))
     found = pairs.applyInArrow(search, "query_id long, vec_id long, score double")
-    return best_ranked(found.dropDuplicates(["query_id", "vec_id", "score"]), k)
+    return best_ranked(found, k)

@@ -151,7 +151,7 @@ def with_copies(spark, seed=3):
     return rows, spark.createDataFrame(rows, "vec_id long, embedding array<double>").repartition(3)
 
 
-@pytest.mark.parametrize("search, scale", [(exact_top_k, 64)])
+@pytest.mark.parametrize("search, scale", [(exact_top_k, 64), (nearest, 1)])
 def test_repeated_candidates_take_one_place(spark, search, scale):
     rows, df = with_copies(spark)
     cut = np.floor if scale > 1 else np.array
