@@ -189,7 +189,8 @@ class ForcedBoundaryBpe:
     def _contractions(codes: np.ndarray, kinds: np.ndarray, first: np.ndarray) -> None:
         """An apostrophe that starts a word takes the letters of a contraction with it."""
         marks = np.flatnonzero((codes == ord("'")) & first)
-        marks = marks[marks + 3 < len(codes)]
+        # The last code is a line end, so that two letters never reach beyond it.
+        marks = marks[marks + 2 < len(codes)]
         one = marks[np.isin(codes[marks + 1], [ord(c) for c in ONE_LETTER])]
         two = np.concatenate(
             [

@@ -47,6 +47,14 @@ def test_encoding_of_hard_texts(text):
     )
 
 
+@pytest.mark.parametrize("text", ["it's", "don't", "i'd 'm", "we'll", "'", "a'"])
+def test_encoding_of_a_contraction_at_the_end(text):
+    for texts in ([text], ["before", text]):
+        ids, _ = encoder(VOCABULARY).encode(texts)
+        expected = REFERENCE.encode_batch(texts, add_special_tokens=False)
+        assert ids.tolist() == [i for e in expected for i in e.ids]
+
+
 def test_round_trip_digests_equal_the_library(some_docs):
     sha = lambda x: hashlib.sha256(x.encode()).hexdigest()
     texts = dict(some_docs.select("doc_id", "text").collect())
