@@ -429,6 +429,13 @@ SELECT count(*) AS customers, CAST(0 AS BIGINT) AS repeated, CAST(0 AS BIGINT) A
         """
 SELECT customers, customers * 10 AS rows, CAST(0 AS BIGINT) AS unknown_products,
   CAST(0 AS BIGINT) AS already_bought, CAST(0 AS BIGINT) AS rank_gaps, CAST(0 AS BIGINT) AS repeats
+FROM (SELECT count(DISTINCT customer_unique_id) AS customers FROM split WHERE part = 'train')""",
+    ),
+    "top_recommendations_check": (
+        ("split",),
+        """
+SELECT customers, customers * 10 AS rows, 10 AS last_rank, CAST(0 AS BIGINT) AS without_revenue,
+  CAST(3 AS BIGINT) AS tabs, CAST(0 AS BIGINT) AS tabs_without_name
 FROM (SELECT count(DISTINCT customer_unique_id) AS customers FROM split WHERE part = 'train')""",
     ),
     "sales_forecast_check": (

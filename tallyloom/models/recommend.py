@@ -161,7 +161,7 @@ def _evaluated(fitted: Recommender, holdout: DataFrame) -> Recommender:
 
 
 def decode(fitted: Recommender, nested: DataFrame) -> DataFrame:
-    """Ranked (customer, product, score) rows from the model's nested output."""
+    """Ranked (customer, product, score) rows from the model's nested output, stamped with the run's time."""
     flat = nested.select("user_idx", F.posexplode("recommendations").alias("position", "entry"))
     ranked = flat.select(
         "user_idx",
@@ -172,7 +172,7 @@ def decode(fitted: Recommender, nested: DataFrame) -> DataFrame:
     return (
         ranked.join(fitted.users, "user_idx")
         .join(fitted.items, "item_idx")
-        .select(USER, ITEM, "rank", "score")
+        .select(USER, ITEM, "rank", "score", F.current_timestamp().alias("generated_at"))
     )
 
 
@@ -216,5 +216,5 @@ def recommend_all(
     return (
         unseen.withColumn("rank", F.row_number().over(order).cast("short"))
         .filter(F.col("rank") <= wanted)
-        .select(USER, ITEM, "rank", "score")
+        .select(USER, ITEM, "rank", "score", "generated_at")
     )

@@ -421,6 +421,23 @@ def _recommendations_check(s: Sample) -> DataFrame:
     return pairs.withColumn("one", F.lit(1)).join(counts.withColumn("one", F.lit(1)), "one").drop("one")
 
 
+def _shown_check(s: Sample) -> DataFrame:
+    """Lists with their descriptions, and the tabs above them: sizes and what may not happen."""
+    shown = cut_lineage(_shown_recommendations(s))
+    tabs = dashboard.recommendation_tabs(shown).agg(
+        F.count("*").alias("tabs"),
+        F.count_if(F.col("category").isNull()).alias("tabs_without_name"),
+    )
+    counts = shown.agg(
+        F.count("*").alias("rows"),
+        F.count_distinct("customer_unique_id").alias("customers"),
+        F.max("rank").cast("int").alias("last_rank"),
+        F.count_if(F.col("total_revenue").isNull()).alias("without_revenue"),
+    )
+    # Two frames of one row each.
+    return counts.withColumn("one", F.lit(1)).join(tabs.withColumn("one", F.lit(1)), "one").drop("one")
+
+
 def _forecast_check(s: Sample) -> DataFrame:
     value, low, high = (F.col(c) for c in ("predicted_revenue", "lower_bound", "upper_bound"))
     return s.forecast_run("linreg").forecasts.groupBy("series").agg(
@@ -562,6 +579,7 @@ BUILDERS: dict[str, Callable[[Sample], DataFrame]] = {
     # invariants of fitted models
     "customer_segments_check": _segments_check,
     "recommendations_check": _recommendations_check,
+    "top_recommendations_check": _shown_check,
     "sales_forecast_check": _forecast_check,
     # fitted models
     "customer_segments": Sample.fitted_segments,
@@ -584,6 +602,7 @@ MODEL_QUERIES = frozenset(
         "customer_segments",
         "customer_segments_check",
         "recommendations_check",
+        "top_recommendations_check",
         "sales_forecast_check",
         "segment_distribution",
         "customer_table",

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from conftest import as_dicts, by_key
 from tallyloom.models import forecast, recommend, segments
 from tallyloom.models.indexing import dense_index
-from tallyloom.plans.catalog import Sample
+from tallyloom.plans.catalog import MODEL_QUERIES, Sample, all_queries
 
 SMALL = "/root/testdata/sf0.001"
 
@@ -269,3 +269,11 @@ def test_short_series_and_unknown_models_are_errors(spark):
         forecast.run_forecast(series(spark, "a", range(43)))
     with pytest.raises(ValueError, match="unknown model"):
         forecast.run_forecast(series(spark, "a", range(60)), "prophecy")
+
+
+# ------------------------------------------------------- registered queries
+
+
+@pytest.mark.parametrize("name", sorted(MODEL_QUERIES))
+def test_every_model_query_returns_rows(spark, name):
+    assert all_queries()[name](spark, SMALL).take(1)
