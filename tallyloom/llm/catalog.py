@@ -14,11 +14,14 @@ from tallyloom.llm.cover_tree import exact_top_k
 from tallyloom.llm.importance import importance_sample
 from tallyloom.llm.jaccard_join import jaccard_components
 from tallyloom.llm.kneser_ney import score, train
+from tallyloom.llm import lexical
 from tallyloom.llm.language import identify, train_languages
 from tallyloom.llm.licenses import SPEAKS_OF_LICENCE, oracle, scan_licenses
 from tallyloom.llm.packing import pack_documents
 from tallyloom.llm.shared import bounded_batches
 from tallyloom.llm.suffix_dedup import remove_repeats
+from tallyloom.llm.toxicity import score_toxicity, train_toxicity
+from tallyloom.llm.variants import group_variants
 
 VOCABULARY = "word_bpe_49k.json"
 
@@ -104,6 +107,28 @@ def op10_jaccard_join(spark: SparkSession, folder: str) -> DataFrame:
     return jaccard_components(table(spark, folder, "documents"))
 
 
+def op11_spelling_variants(spark: SparkSession, folder: str) -> DataFrame:
+    """Every word of documents with its form and root; nulls, ties and repeats as in group_variants."""
+    return group_variants(table(spark, folder, "documents"))
+
+
+def op12_lexical_search(spark: SparkSession, folder: str) -> DataFrame:
+    """The ten best documents of every benchmark item; nulls, ties and repeats as in rank_documents."""
+    return lexical.rank_documents(
+        table(spark, folder, "documents"), table(spark, folder, "benchmark")
+    )
+
+
+def op13_toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    """The toxicity of every document; nulls, ties and repeats as in score_toxicity."""
+    docs, labels = (table(spark, folder, name) for name in ("documents", "labels"))
+    held_out = F.coalesce(held_out_by_crc(3, 1), F.lit(False))
+    model = train_toxicity(docs, labels.where(~held_out))
+    rows = docs.select("doc_id", held_out.alias("held_out"), "text")
+    scored = score_toxicity(rows, model, carry=("held_out",))
+    return scored.withColumn("predicted", (F.col("score") >= 0.7).cast("int"))
+
+
 def llm_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     found = (
         op1_kneser_ney,
@@ -116,9 +141,12 @@ def llm_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         op8_license_scan,
         op9_bpe_round_trip,
         op10_jaccard_join,
+        op11_spelling_variants,
+        op12_lexical_search,
+        op13_toxicity,
     )
     return {f.__name__: f for f in found}
 
 
 def llm_oracles() -> dict[str, str]:
-    return {"op8_license_scan": oracle(FILES_SQL)}
+    return {"op8_license_scan": oracle(FILES_SQL), "op12_lexical_search": lexical.oracle()}
