@@ -194,7 +194,8 @@ def blocks_of(words: DataFrame, part_words: int) -> DataFrame:
     sizes = words.groupBy("key").agg(F.count("*").alias("size")).where(F.col("size") > part_words)
     parts = F.ceil(F.col("size") / part_words).cast("int")
     part = F.coalesce(F.pmod(F.xxhash64("word"), parts), F.lit(0)).cast("int")
-    dealt = words.join(sizes, "key", "left").withColumn("part", part)
+    # Dealt anew, since a hot key's parts must not meet in the task that counted them.
+    dealt = words.join(sizes, "key", "left").withColumn("part", part).repartition("key", "part")
     listed = F.sort_array(F.collect_list(F.struct("word", "n")))
     return dealt.groupBy("key", "part").agg(listed.alias("entries")).select(
         "key",
