@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import oracles.models  # noqa: F401  (adds its parts)
 from oracles.parts import NOT_SOLD, PARTS, PRODUCT_NAME, half_up, short, title
 
 
@@ -14,7 +15,8 @@ def _ordered(names: tuple[str, ...], seen: list[str]) -> list[str]:
 
 
 def statement(needs: tuple[str, ...], sql: str) -> str:
-    ctes = [f"{name} AS ({PARTS[name][1]})" for name in _ordered(needs, [])]
+    # A part that several others read is computed once.
+    ctes = [f"{name} AS MATERIALIZED ({PARTS[name][1]})" for name in _ordered(needs, [])]
     return ("WITH " + ",\n".join(ctes) + "\n" if ctes else "") + sql.strip()
 
 
@@ -443,6 +445,26 @@ FROM (SELECT count(DISTINCT customer_unique_id) AS customers FROM split WHERE pa
         """
 SELECT series, CAST(max(date) + 1 AS DATE) AS first_day, CAST(max(date) + 30 AS DATE) AS last_day,
   CAST(30 AS BIGINT) AS days, CAST(0 AS BIGINT) AS bad_bands FROM series GROUP BY series""",
+    ),
+    "sales_forecast_by_seller": (("seller_forecasts",), "SELECT * FROM seller_forecasts"),
+    "forecast_quality_by_seller": (("seller_quality",), "SELECT * FROM seller_quality"),
+    "customer_segments": (("km_segments",), "SELECT * FROM km_segments"),
+    "segment_centroids": (
+        ("km_names", "km_scale"),
+        """
+SELECT cid AS cluster_id, label AS segment_label, round(c0, 6) AS recency_days_z,
+  round(c1, 6) AS frequency_z, round(c2, 6) AS monetary_z, round((c0 * d0 + m0) / 100, 6) AS recency_days,
+  round((c1 * d1 + m1) / 100, 6) AS frequency, round((c2 * d2 + m2) / 100, 6) AS monetary
+FROM km_names, km_scale""",
+    ),
+    "segment_silhouette": (("km_silhouette",), "SELECT * FROM km_silhouette"),
+    "segment_distribution": (("km_shares",), "SELECT * FROM km_shares"),
+    "customer_table": (("km_clusters",), CUSTOMER_ROWS.format("true").replace("FROM clusters", "FROM km_clusters")),
+    "cluster_scatter": (
+        ("km_clusters",),
+        """
+SELECT segment_label AS cluster, frequency, monetary FROM km_clusters
+WHERE monetary IS NOT NULL ORDER BY recency_days DESC, customer_unique_id LIMIT 500""",
     ),
     "clusters_by_rule": (("clusters",), "SELECT * FROM clusters"),
     "segment_shares_by_rule": (("shares",), "SELECT * FROM shares"),

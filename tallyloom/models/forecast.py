@@ -8,6 +8,7 @@ day, so no group grows with the number of orders.
 
 from __future__ import annotations
 
+import uuid
 from dataclasses import dataclass
 
 from pyspark import StorageLevel
@@ -17,12 +18,13 @@ from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.regression import (
     LinearRegression,
     LinearRegressionModel,
+    RandomForestRegressionModel,
     RandomForestRegressor,
 )
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tallyloom.session import cut_lineage
+from tallyloom.session import cut_lineage, ensure_checkpoint_dir
 
 # Features and defaults.
 FEATURES = ("trend", "dow", "month", "lag_1", "lag_7", "roll_mean_7")
@@ -173,6 +175,79 @@ def _predict_linear(states: DataFrame, model: LinearRegressionModel, horizon: in
     )
 
 
+def flat_forest(model: RandomForestRegressionModel) -> DataFrame:
+    """One row with all trees of a model, each as arrays over its nodes.
+
+    A node's place is its number; a leaf has no left child.  The size is bounded by
+    the number of trees and their depth.
+    """
+    spark = SparkSession.getActiveSession()
+    path = f"{ensure_checkpoint_dir(spark)}/forest-{uuid.uuid4().hex}"
+    model.write().save(path)
+    node, split = F.col("nodeData"), F.col("nodeData.split")
+    nodes = spark.read.parquet(f"{path}/data").select(
+        F.col("treeID").alias("tree"),
+        F.struct(
+            node["id"].alias("id"),
+            split["featureIndex"].alias("feature"),
+            F.get(split["leftCategoriesOrThreshold"], F.lit(0)).alias("threshold"),
+            node["leftChild"].alias("left"),
+            node["rightChild"].alias("right"),
+            node["prediction"].alias("value"),
+        ).alias("node"),
+    )
+    listed = nodes.groupBy("tree").agg(F.array_sort(F.collect_list("node")).alias("nodes"))
+    names = ("feature", "threshold", "left", "right", "value")
+    arrays = F.struct("tree", *(F.col(f"nodes.{name}").alias(name) for name in names))
+    return listed.agg(F.array_sort(F.collect_list(arrays)).alias("forest"))
+
+
+def _predict_forest(
+    states: DataFrame, model: RandomForestRegressionModel, horizon: int, depth: int
+) -> DataFrame:
+    """The whole recursion as one expression: every tree is walked from its root, day by day."""
+    levels = F.sequence(F.lit(1), F.lit(depth))
+
+    def leaf_value(tree: Column, inputs: Column) -> Column:
+        def down(node: Column, _: Column) -> Column:
+            goes_left = F.get(inputs, F.get(tree["feature"], node)) <= F.get(tree["threshold"], node)
+            child = F.when(goes_left, F.get(tree["left"], node)).otherwise(F.get(tree["right"], node))
+            return F.when(F.get(tree["left"], node) < 0, node).otherwise(child)
+
+        return F.get(tree["value"], F.aggregate(levels, F.lit(0), down))
+
+    def step(history: Column, ahead: Column) -> Column:
+        day = F.date_add(F.col("last_date"), ahead)
+        recent = F.slice(history, -LAGS, LAGS)
+        values = F.array(
+            (F.col("last_trend") + ahead).cast("double"),
+            F.weekday(day).cast("double"),
+            F.month(day).cast("double"),
+            F.element_at(recent, -1),
+            F.element_at(recent, 1),
+            _week_mean(recent),
+        )
+        # The one element of the outer array is computed once and read by all trees.
+        total = F.transform(
+            F.array(values),
+            lambda inputs: F.aggregate(
+                F.col("forest"), F.lit(0.0), lambda sum_, tree: sum_ + leaf_value(tree, inputs)
+            ),
+        )
+        return F.concat(history, F.array(F.get(total, F.lit(0)) / F.size("forest")))
+
+    grown = states.select("*", flat_forest(model).scalar().alias("forest"))
+    path = F.aggregate(F.sequence(F.lit(1), F.lit(horizon)), F.col("history"), step)
+    ahead = F.slice(path, LAGS + 1, horizon)
+    return grown.select(
+        "series", "last_date", F.posexplode(ahead).alias("position", "prediction")
+    ).select(
+        "series",
+        F.date_add("last_date", F.col("position") + 1).alias("forecast_date"),
+        "prediction",
+    )
+
+
 def _predict_stepwise(states: DataFrame, model: Model, horizon: int) -> DataFrame:
     """Any model: one narrow step per day ahead on one row per series.
 
@@ -253,6 +328,8 @@ def run_forecast(
         vectors.unpersist()
     if isinstance(model, LinearRegressionModel):
         path = _predict_linear(states, model, horizon)
+    elif isinstance(model, RandomForestRegressionModel):
+        path = _predict_forest(states.drop("sigma"), model, horizon, depth)
     else:
         path = _predict_stepwise(states.drop("sigma"), model, horizon)
     width = F.lit(BAND_SIGMAS) * F.col("sigma")

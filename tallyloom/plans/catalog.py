@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tallyloom.functions.dates import latest, within_dates, within_preset
-from tallyloom.models import forecast, recommend, segments
+from tallyloom.models import forecast, per_series, recommend, segments
 from tallyloom.operators import facts, kpi, merge, metrics, rfm
 from tallyloom.operators.clean import clean_categories, clean_order_reviews
 from tallyloom.operators.tables import RetailTables
@@ -166,6 +166,9 @@ class Sample:
         features = cut_lineage(self.features())
         return features, segments.assign_segments(segments.fit_segments(features), features)
 
+    def segment_model(self) -> segments.SegmentModel:
+        return segments.fit_segments(cut_lineage(self.features()))
+
     def fitted_segments(self) -> DataFrame:
         return self.fitted_clusters()[1]
 
@@ -379,6 +382,31 @@ def _forecast_by_category(s: Sample) -> DataFrame:
     return forecast.run_forecast(daily, kind="linreg").forecasts
 
 
+def _by_seller(s: Sample) -> per_series.SeriesForecasts:
+    lines = facts.sales_lines(s.tables)
+    return per_series.forecast_each(
+        forecast.daily_series(lines, series=F.col("seller_id").cast("string"))
+    )
+
+
+def _quality_by_seller(s: Sample) -> DataFrame:
+    quality = _by_seller(s).quality
+    return quality.withColumns({"rmse": F.round("rmse", 4), "r2": F.round("r2", 6)})
+
+
+def _segment_centroids(s: Sample) -> DataFrame:
+    rows = segments.centroid_rows(s.spark, s.segment_model())
+    return rows.withColumns({c: F.round(c, 6) for c, kind in rows.dtypes if kind == "double"})
+
+
+def _segment_silhouette(s: Sample) -> DataFrame:
+    features = cut_lineage(s.features())
+    model = segments.fit_segments(features)
+    return features.agg(F.count("*").alias("customers")).withColumn(
+        "silhouette", F.round(F.lit(model.silhouette), 6)
+    )
+
+
 # Invariants of fitted models, which SQL can state from the tables alone.
 
 
@@ -583,6 +611,8 @@ BUILDERS: dict[str, Callable[[Sample], DataFrame]] = {
     "sales_forecast_check": _forecast_check,
     # fitted models
     "customer_segments": Sample.fitted_segments,
+    "segment_centroids": _segment_centroids,
+    "segment_silhouette": _segment_silhouette,
     "segment_distribution": lambda s: views.segment_distribution(s.fitted_segments()),
     "customer_table": lambda s: dashboard.customer_rows(_fitted_clusters(s)),
     "cluster_scatter": lambda s: dashboard.cluster_scatter(_fitted_clusters(s)),
@@ -592,21 +622,19 @@ BUILDERS: dict[str, Callable[[Sample], DataFrame]] = {
     "precision_at_k": _als_quality,
     "sales_forecast": lambda s: s.forecast_run("linreg").forecasts,
     "sales_forecast_by_category": _forecast_by_category,
+    "sales_forecast_by_seller": lambda s: _by_seller(s).forecasts,
+    "forecast_quality_by_seller": _quality_by_seller,
     "sales_forecast_forest": lambda s: s.forecast_run("randomforest").forecasts,
     "forecast_summary": lambda s: dashboard.forecast_summary(s.forecast_run("linreg").forecasts),
 }
 
-# Fitted models depend on row layout, so these are checked by invariants and not by SQL.
+# MLlib's fits depend on row layout, so these are checked by invariants and not by SQL.
 MODEL_QUERIES = frozenset(
     {
-        "customer_segments",
         "customer_segments_check",
         "recommendations_check",
         "top_recommendations_check",
         "sales_forecast_check",
-        "segment_distribution",
-        "customer_table",
-        "cluster_scatter",
         "recommendations",
         "top_recommendations",
         "recommendation_tabs",

@@ -36,7 +36,6 @@ class WorkflowConfig:
     only_features: bool = False
     steps: Iterable[str] = ANALYTICS_STEPS
     clusters: int = segments.CLUSTERS
-    cluster_partitions: int | None = None
     als: recommend.AlsSettings = field(default_factory=recommend.AlsSettings)
     forecast_model: str = "randomforest"
     forecast_trees: int = forecast.TREES
@@ -93,9 +92,7 @@ def run_preprocessing(
 
 def run_segments(spark: SparkSession, config: WorkflowConfig) -> DataFrame:
     features = spark.read.parquet(config.path("customer_features"))
-    model = segments.fit_segments(
-        features, config.clusters, partitions=config.cluster_partitions
-    )
+    model = segments.fit_segments(features, config.clusters)
     written = write_parquet(
         segments.assign_segments(model, features), config.path("customer_segments")
     )

@@ -6,11 +6,13 @@ import datetime as dt
 import math
 
 import pytest
-from pyspark.ml.functions import vector_to_array
+from pyspark.ml.clustering import KMeans
+from pyspark.ml.evaluation import ClusteringEvaluator
+from pyspark.ml.functions import array_to_vector
 from pyspark.sql import functions as F
 
 from conftest import as_dicts, by_key
-from tallyloom.models import forecast, recommend, segments
+from tallyloom.models import forecast, per_series, recommend, segments
 from tallyloom.models.indexing import dense_index
 from tallyloom.plans.catalog import MODEL_QUERIES, Sample, all_queries
 
@@ -52,19 +54,18 @@ def features(spark):
 
 @pytest.fixture(scope="module")
 def segment_model(features):
-    return segments.fit_segments(features, partitions=4)
+    return segments.fit_segments(features)
 
 
 def test_every_customer_gets_its_nearest_centroid(features, segment_model):
     assigned = segments.assign_segments(segment_model, features)
     assert dict(assigned.dtypes)["cluster_id"] == "smallint"
-    points = segment_model.scaler.transform(segments.feature_vectors(features)).select(
-        "customer_unique_id", vector_to_array("features").alias("z")
-    )
+    points = segments.standard_points(features, segment_model.means, segment_model.deviations)
     rows = assigned.join(points, "customer_unique_id").collect()
     assert len(rows) == features.count() == segment_model.customers
     for row in rows:
-        distances = [math.dist(row.z, c) for c in segment_model.centroids]
+        z = [row[f"z{i}"] / segments.PARTS for i in range(3)]
+        distances = [math.dist(z, c) for c in segment_model.centroids]
         assert row.distance_to_centroid == pytest.approx(min(distances), abs=1e-9)
         assert row.distance_to_centroid == pytest.approx(distances[row.cluster_id], abs=1e-9)
         assert row.segment_label == segment_model.labels[row.cluster_id]
@@ -73,15 +74,53 @@ def test_every_customer_gets_its_nearest_centroid(features, segment_model):
     assert sum(s["customers"] for s in sizes) == len(rows)
 
 
-def test_fixed_layout_repeats_the_fit(features, segment_model):
-    again = segments.fit_segments(features.repartition(7), partitions=4)
-    assert again.centroids == segment_model.centroids
+@pytest.mark.parametrize("partitions", [3, 17])
+def test_the_fit_does_not_depend_on_layout(features, segment_model, partitions):
+    again = segments.fit_segments(features.repartition(partitions))
+    assert again == segment_model
+
+
+def test_standardised_like_the_vector_scaler(features, segment_model):
+    ours = by_key(segments.standard_points(features, segment_model.means, segment_model.deviations), "customer_unique_id")
+    for row in segments.standardized_features(features).collect():
+        z = [row[f"{name}_z"] for name in segments.FEATURES]
+        assert [ours[row.customer_unique_id][f"z{i}"] / segments.PARTS for i in range(3)] == pytest.approx(z, abs=1e-8)
+
+
+def test_silhouette_equals_the_evaluator(features, segment_model):
+    points = segments.standard_points(features, segment_model.means, segment_model.deviations)
+    placed = points.withColumn("prediction", segments._nearest(segment_model.centroids)).select(
+        "prediction", array_to_vector(F.array(*(F.col(f"z{i}") / segments.PARTS for i in range(3)))).alias("features")
+    )
+    expected = ClusteringEvaluator(distanceMeasure="squaredEuclidean").evaluate(placed)
+    assert segment_model.silhouette == pytest.approx(expected, abs=1e-7)
+
+
+def test_the_fit_is_as_tight_as_the_library_one(features, segment_model):
+    points = segments.standard_points(features, segment_model.means, segment_model.deviations).select(
+        array_to_vector(F.array(*(F.col(f"z{i}") / segments.PARTS for i in range(3)))).alias("features")
+    )
+    library = KMeans(k=segments.CLUSTERS, seed=segments.SEED, maxIter=30).fit(points)
+    rows = segments.assign_segments(segment_model, features)
+    cost = rows.agg(F.sum(F.col("distance_to_centroid") ** 2)).first()[0]
+    assert cost <= 1.1 * library.summary.trainingCost
 
 
-def test_original_centroids_are_in_feature_units(segment_model):
-    for center, z in zip(segment_model.original_centroids, segment_model.centroids):
-        back = [(x - m) / s for x, m, s in zip(center, segment_model.scaler.mean, segment_model.scaler.std)]
-        assert back == pytest.approx(z)
+def test_few_different_customers_make_few_clusters(spark):
+    rows = [(f"c{i}", i % 2, 1, 5.0) for i in range(10)]
+    alike = spark.createDataFrame(rows, "customer_unique_id string, recency_days int, frequency int, monetary double")
+    model = segments.fit_segments(alike)
+    assert len(model.centroids) == 2 and model.silhouette == pytest.approx(1.0)
+    assert segments.assign_segments(model, alike).agg(F.max("distance_to_centroid")).first()[0] < 1e-8
+    assert math.isnan(segments.fit_segments(alike.limit(1)).silhouette)
+
+
+def test_original_centroids_are_in_feature_units(features, segment_model):
+    assigned = segments.assign_segments(segment_model, features).join(features, "customer_unique_id")
+    means = assigned.groupBy("cluster_id").agg(*(F.avg(F.col(f).cast("double")).alias(f) for f in segments.FEATURES))
+    for row in means.collect():
+        expected = [row[f] for f in segments.FEATURES]
+        assert segment_model.original_centroids[row.cluster_id] == pytest.approx(expected, rel=1e-6)
 
 
 def test_no_customers_is_an_error(features):
@@ -243,6 +282,54 @@ def test_stepwise_recursion_equals_the_single_expression(spark):
         assert stepwise[key]["prediction"] == pytest.approx(row["prediction"])
 
 
+def test_forest_recursion_equals_the_library_step_by_step(spark):
+    data = series(spark, "a", map(wave, range(120))).union(series(spark, "b", (3 * wave(i * i) for i in range(80))))
+    vectors = forecast._assembler().transform(forecast.forecast_features(data))
+    model = forecast._estimator("randomforest", 12, 7, 6).fit(vectors)
+    states = forecast._last_states(vectors)
+    at_once = forecast._predict_forest(states, model, 9, 6)
+    stepwise = forecast._predict_stepwise(states, model, 9)
+    key = F.concat_ws(" ", "series", "forecast_date")
+    expected = by_key(stepwise.withColumn("k", key), "k")
+    found = by_key(at_once.withColumn("k", key), "k")
+    assert len(found) == 18 and set(found) == set(expected)
+    for k, row in found.items():
+        assert row["prediction"] == pytest.approx(expected[k]["prediction"], rel=1e-12)
+
+
+def test_every_series_gets_the_model_of_its_own_rows(spark):
+    import numpy as np
+
+    names = ("a", "b", "flat", "c")
+    data = None
+    for name, scale in zip(names, (1, 3, 0, 0.5)):
+        one = series(spark, name, (round(scale * wave(i * (1 + scale)) + scale * (i % 5), 2) for i in range(90)))
+        data = one if data is None else data.union(one)
+    run = per_series.forecast_each(data.union(series(spark, "short", range(10))).repartition(5), horizon=6)
+    assert [tuple(r) for r in run.short_series.collect()] == [("short", 10)]
+    features = forecast.mark_holdout(forecast.forecast_features(forecast.fill_gaps(data))).orderBy("date").collect()
+    quality = by_key(run.quality, "series")
+    rows = run.forecasts.orderBy("forecast_date").collect()
+    assert len(rows) == 24
+    for name in names:
+        own = [r for r in features if r.series == name]
+        x = np.array([[1.0, *(r[c] for c in forecast.FEATURES)] for r in own])
+        y = np.array([r.revenue for r in own])
+        held = np.array([r.is_holdout for r in own])
+        trained = np.linalg.lstsq(x[~held], y[~held], rcond=None)[0]
+        rmse = math.sqrt(np.mean((x[held] @ trained - y[held]) ** 2))
+        assert quality[name]["rmse"] == pytest.approx(rmse, rel=1e-2, abs=1e-2)
+        whole = np.linalg.lstsq(x, y, rcond=None)[0]
+        history = list(y[-7:])
+        expected = recursion(history, lambda v: whole[0] + sum(w * u for w, u in zip(whole[1:], v)), own[-1].date, own[-1].trend, 6)
+        shown = [r.predicted_revenue for r in rows if r.series == name]
+        assert shown == pytest.approx(expected, rel=1e-2, abs=0.02)
+        sigma = np.std(y - x @ whole)
+        width = [r.upper_bound - r.predicted_revenue for r in rows if r.series == name]
+        assert width == pytest.approx([1.96 * sigma] * 6, rel=1e-2, abs=0.02)
+    assert quality["flat"]["r2"] is None
+
+
 @pytest.mark.parametrize("kind", ["linreg", "randomforest"])
 def test_forecast_run(spark, kind):
     data = series(spark, "a", map(wave, range(100)))

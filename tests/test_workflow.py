@@ -22,7 +22,6 @@ def done(spark, tmp_path_factory):
         als=AlsSettings(rank=4, max_iterations=2, top_k=3),
         forecast_model="linreg",
         horizon=5,
-        cluster_partitions=2,
     )
     return config, workflow.run_all(spark, sample.raw_tables(spark, SMALL), config)
 
