@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tallyloom.models.indexing import dense_index
+from tallyloom.models.pruned import top_items
 from tallyloom.session import cut_lineage
 
 USER, ITEM = "customer_unique_id", "product_id"
@@ -147,74 +148,46 @@ def _evaluated(fitted: Recommender, holdout: DataFrame) -> Recommender:
     evaluator = RegressionEvaluator(
         metricName="rmse", labelCol="rating", predictionCol="prediction"
     )
-    try:
-        rmse = float(evaluator.evaluate(fitted.model.transform(holdout)))
-    except Exception:  # nothing left to score once cold rows are dropped
-        rmse = float("nan")
+    scored = fitted.model.transform(holdout)
+    # Nothing is left to score where all rows are cold.
+    rmse = float("nan") if scored.isEmpty() else float(evaluator.evaluate(scored))
     k = fitted.settings.top_k
     asked = holdout.select("user_idx").distinct()
-    recommended = decode(fitted, fitted.model.recommendForUserSubset(asked, k))
+    factors = fitted.model.userFactors.join(asked.withColumnRenamed("user_idx", "id"), "id", "left_semi")
+    recommended = decode(fitted, top_items(factors, fitted.model.itemFactors, k).lists)
     precision = precision_at_k(recommended, holdout, k).first()["precision_at_k"]
     return Recommender(
         fitted.model, fitted.users, fitted.items, fitted.settings, rmse, float(precision)
     )
 
 
-def decode(fitted: Recommender, nested: DataFrame) -> DataFrame:
-    """Ranked (customer, product, score) rows from the model's nested output, stamped with the run's time."""
-    flat = nested.select("user_idx", F.posexplode("recommendations").alias("position", "entry"))
-    ranked = flat.select(
-        "user_idx",
-        F.col("entry.item_idx").alias("item_idx"),
-        (F.col("position") + 1).cast("short").alias("rank"),
-        F.col("entry.rating").cast("float").alias("score"),
-    )
+def decode(fitted: Recommender, lists: DataFrame) -> DataFrame:
+    """Ranked (customer, product, score) rows of lists by index, stamped with the run's time."""
     return (
-        ranked.join(fitted.users, "user_idx")
+        lists.join(fitted.users, "user_idx")
         .join(fitted.items, "item_idx")
-        .select(USER, ITEM, "rank", "score", F.current_timestamp().alias("generated_at"))
+        .select(
+            USER,
+            ITEM,
+            F.col("rank").cast("short").alias("rank"),
+            F.col("score").cast("float").alias("score"),
+            F.current_timestamp().alias("generated_at"),
+        )
     )
 
 
 def recommend_all(
     fitted: Recommender, k: int | None = None, exclude_seen: DataFrame | None = None
 ) -> DataFrame:
-    """Top products for every customer: a blocked product of all users and items.
+    """Top products for every customer; pairs that cannot reach a list are not scored.
 
     With ``exclude_seen`` (customer and product pairs) those products are left
     out, and the list still has k products while others remain.
     """
-    wanted = k or fitted.settings.top_k
-    if exclude_seen is None:
-        return decode(fitted, fitted.model.recommendForAllUsers(wanted))
-    seen = cut_lineage(
-        exclude_seen.select(USER, ITEM).distinct().join(fitted.users, USER).join(fitted.items, ITEM)
-    )
-    # Customers by the power of two that bounds what they bought, so that a heavy
-    # buyer does not lengthen every list.  There are at most 32 such classes.
-    bought = seen.groupBy("user_idx").agg(F.count("*").alias("products"))
-    classes = fitted.users.join(bought, "user_idx", "left").select(
-        "user_idx", F.ceil(F.log2(F.coalesce("products", F.lit(0)) + 1)).cast("int").alias("class")
-    )
-    classes = cut_lineage(classes)
-    parts = [
-        decode(
-            fitted,
-            fitted.model.recommendForUserSubset(
-                classes.filter(F.col("class") == size).select("user_idx"), wanted + (1 << size)
-            ),
-        )
-        for size in sorted(r["class"] for r in classes.select("class").distinct().collect())
-    ]
-    if not parts:
-        return decode(fitted, fitted.model.recommendForAllUsers(wanted))
-    found = parts[0]
-    for part in parts[1:]:
-        found = found.union(part)
-    unseen = found.join(seen.select(USER, ITEM), [USER, ITEM], "left_anti")
-    order = Window.partitionBy(USER).orderBy("rank")
-    return (
-        unseen.withColumn("rank", F.row_number().over(order).cast("short"))
-        .filter(F.col("rank") <= wanted)
-        .select(USER, ITEM, "rank", "score", "generated_at")
-    )
+    had = None
+    if exclude_seen is not None:
+        seen = exclude_seen.select(USER, ITEM).distinct()
+        had = seen.join(fitted.users, USER).join(fitted.items, ITEM).select("user_idx", "item_idx")
+    model = fitted.model
+    found = top_items(model.userFactors, model.itemFactors, k or fitted.settings.top_k, had)
+    return decode(fitted, found.lists)

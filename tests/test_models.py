@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from conftest import as_dicts, by_key
 from tallyloom.models import forecast, per_series, recommend, segments
 from tallyloom.models.indexing import dense_index
+from tallyloom.models.pruned import top_items
 from tallyloom.plans.catalog import MODEL_QUERIES, Sample, all_queries
 
 SMALL = "/root/testdata/sf0.001"
@@ -191,6 +192,59 @@ def test_recommender(spark, bought):
         assert [s for _, s in ranked] == sorted((s for _, s in ranked), reverse=True)
 
 
+def factors(spark, vectors):
+    rows = [(k, [float(x) for x in v]) for k, v in enumerate(vectors)]
+    return spark.createDataFrame(rows, "id int, features array<float>")
+
+
+def test_pruned_lists_equal_all_scores_and_score_few_pairs(spark):
+    import numpy as np
+
+    pick = np.random.default_rng(3)
+    users = pick.random((300, 6)).astype(np.float32)
+    # Few products have large norms, as popular ones do.
+    items = (pick.random((900, 6)) * (1 / (1 + np.arange(900))[:, None]) ** 0.7).astype(np.float32)
+    users[7] = 0
+    had = {(int(u), int(i)) for u, i in zip(pick.integers(0, 300, 4000), pick.integers(0, 60, 4000))}
+    had |= {(5, i) for i in range(895)}
+    pairs = spark.createDataFrame(sorted(had), "user_idx int, item_idx int")
+    scores = users.astype(np.float64) @ items.T.astype(np.float64)
+    for taken in (None, pairs):
+        found = top_items(factors(spark, users).repartition(4), factors(spark, items), 10, taken, 50, 40)
+        allowed = scores.copy()
+        if taken is not None:
+            for u, i in had:
+                allowed[u, i] = -np.inf
+        lists = {}
+        for row in found.lists.collect():
+            assert taken is None or (row.user_idx, row.item_idx) not in had
+            lists.setdefault(row.user_idx, []).append((row["rank"], row.score))
+        assert len(lists) == 300
+        for u, ranked in lists.items():
+            best = np.sort(allowed[u][np.isfinite(allowed[u])])[::-1][:10]
+            assert [s for _, s in sorted(ranked)] == pytest.approx(best, rel=1e-5, abs=1e-7)
+            assert sorted(r for r, _ in ranked) == list(range(1, len(best) + 1))
+        scored = found.pairs.agg(F.sum(F.col("users") * F.col("items"))).first()[0]
+        assert 300 * 40 <= scored < 0.6 * 300 * 900
+
+
+def test_pruned_lists_without_rows(spark):
+    some, none = factors(spark, [[1.0, 2.0]]), factors(spark, [])
+    for users, items in ((some, none), (none, some), (none, none)):
+        assert top_items(users, items, 3).lists.count() == 0
+    assert [tuple(r) for r in top_items(some, some, 3).lists.collect()] == [(0, 0, 1, 5.0)]
+
+
+def test_lists_equal_those_of_the_library(spark, bought):
+    fitted = recommend.fit_recommender(bought, recommend.AlsSettings(max_iterations=2, rank=4), evaluate=False)
+    nested = fitted.model.recommendForAllUsers(10).select("user_idx", F.posexplode("recommendations").alias("p", "x"))
+    theirs = {(r.user_idx, r.p + 1): r.x.rating for r in nested.collect()}
+    found = top_items(fitted.model.userFactors, fitted.model.itemFactors, 10).lists.collect()
+    assert {(r.user_idx, r["rank"]) for r in found} == set(theirs)
+    for row in found:
+        assert row.score == pytest.approx(theirs[row.user_idx, row["rank"]], rel=1e-4, abs=1e-6)
+
+
 def test_no_interactions_is_an_error(bought):
     with pytest.raises(ValueError):
         recommend.fit_recommender(bought.limit(0))
