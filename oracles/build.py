@@ -96,6 +96,19 @@ FROM (SELECT *, 0.15::DOUBLE * (
   FROM (SELECT * FROM whole_fc {{0}}))
 WHERE s IS NOT NULL"""
 
+HEATMAP = """
+SELECT g.hour, g.day, coalesce(n, 0) AS orders,
+  coalesce(n, 0) / greatest(max(coalesce(n, 0)) OVER (), 1) AS value
+FROM (
+  SELECT CAST(h AS INTEGER) AS hour, d AS day
+  FROM (SELECT unnest(generate_series(0, 23)) AS h),
+    (SELECT unnest(['Mon', 'Tue', 'Wed', 'Thu', 'Fri', 'Sat', 'Sun']) AS d)
+) g LEFT JOIN (
+  SELECT hour(order_purchase_timestamp) AS hour, strftime(order_purchase_timestamp, '%a') AS day,
+    count(*) AS n
+  FROM {0} WHERE order_status <> 'canceled' GROUP BY 1, 2
+) c ON g.hour = c.hour AND g.day = c.day"""
+
 LAST_6 = "ORDER BY month DESC LIMIT 6"
 
 QUERIES: dict[str, tuple[tuple[str, ...], str]] = {
@@ -289,20 +302,76 @@ SELECT CASE channel WHEN 'credit_card' THEN 'Credit Card' WHEN 'boleto' THEN 'Bo
   revenue AS value, pct_of_total AS change, order_count FROM channels""",
     ),
     "channel_count": (("channels",), "SELECT count(DISTINCT channel) AS channels FROM channels"),
-    "activity_heatmap": (
+    "activity_heatmap": (("c_orders",), HEATMAP.format("c_orders")),
+    "activity_heatmap_newest": (
         ("c_orders",),
+        HEATMAP.format(
+            "(SELECT * FROM c_orders WHERE order_status <> 'canceled' "
+            "ORDER BY order_purchase_timestamp DESC, order_id LIMIT 5000)"
+        ),
+    ),
+    "sql_months_of_revenue": (("monthly",), "SELECT * FROM monthly ORDER BY month DESC LIMIT 6"),
+    "sql_best_products": (
+        ("tp",),
         """
-SELECT g.hour, g.day, coalesce(n, 0) AS orders,
-  coalesce(n, 0) / greatest(max(coalesce(n, 0)) OVER (), 1) AS value
+SELECT CAST(row_number() OVER (ORDER BY total_revenue DESC, product_id) AS INTEGER) AS rank,
+  product_id, category, total_revenue, units_sold FROM tp WHERE category ILIKE '%promo%' QUALIFY rank <= 10""",
+    ),
+    "sql_orders_of_period": (
+        ("c_orders",),
+        """
+SELECT order_id, order_status, order_purchase_timestamp FROM c_orders
+WHERE CAST(order_purchase_timestamp AS DATE) BETWEEN DATE '1996-03-01' AND DATE '1996-03-31'""",
+    ),
+    "sql_channel_performance": (("channels",), "SELECT * FROM channels"),
+    "kpi_in_batches": (("snaps",), "SELECT * FROM snaps"),
+    "distinct_customers_period": (
+        ("buyer_days", "windows"),
+        """
+SELECT days, w.day, count(DISTINCT c) AS customers FROM windows w
+JOIN buyer_days b ON b.day > w.day - days AND b.day <= w.day GROUP BY days, w.day
+UNION ALL
+SELECT days, day, 0 FROM windows w WHERE NOT EXISTS (
+  FROM buyer_days b WHERE b.day > w.day - w.days AND b.day <= w.day)""",
+    ),
+    "distinct_customers_month": (
+        ("base",),
+        """
+SELECT CAST(date_trunc('month', day) AS DATE) AS period, count(DISTINCT customer_unique_id) AS customers
+FROM base WHERE day IS NOT NULL AND customer_unique_id IS NOT NULL GROUP BY 1""",
+    ),
+    "rejected_rows": (
+        ("raw_items",),
+        """
+SELECT CASE WHEN order_id % 97 = 0 THEN head || ',n/a,' || freight_value
+    WHEN order_id % 89 = 0 THEN head || ',' || price
+    ELSE substr(head, length(order_id::VARCHAR) + 1) || ',' || price || ',' || freight_value END AS line,
+  CASE WHEN order_id % 97 = 0 OR order_id % 89 = 0 THEN 'malformed' ELSE 'no order_id' END AS reason
 FROM (
-  SELECT CAST(h AS INTEGER) AS hour, d AS day
-  FROM (SELECT unnest(generate_series(0, 23)) AS h),
-    (SELECT unnest(['Mon', 'Tue', 'Wed', 'Thu', 'Fri', 'Sat', 'Sun']) AS d)
-) g LEFT JOIN (
-  SELECT hour(order_purchase_timestamp) AS hour, strftime(order_purchase_timestamp, '%a') AS day,
-    count(*) AS n
-  FROM c_orders WHERE order_status <> 'canceled' GROUP BY 1, 2
-) c ON g.hour = c.hour AND g.day = c.day""",
+  SELECT *, concat_ws(',', order_id, order_item_id, product_id, seller_id, shipping_limit_date) AS head
+  FROM raw_items
+) WHERE order_id % 97 = 0 OR order_id % 89 = 0 OR order_id % 83 = 0""",
+    ),
+    "inferred_profile": (
+        ("raw_payments",),
+        " UNION ALL ".join(
+            f"SELECT '{c}' AS column_name, '{kind}' AS inferred, count(*) AS row_count, "
+            f"count(*) - count({c}) AS null_count FROM raw_payments"
+            for c, kind in (
+                ("order_id", "int"),
+                ("payment_sequential", "int"),
+                ("payment_type", "string"),
+                ("payment_installments", "int"),
+                ("payment_value", "double"),
+            )
+        ),
+    ),
+    "upsert_in_place": (
+        ("prices", "seen_prices"),
+        f"""
+SELECT coalesce(t.product_id, u.product_id) AS product_id, {_keep_or_take("size")} AS size,
+  CAST({_keep_or_take("price")} AS DOUBLE) AS price
+FROM prices t FULL JOIN seen_prices u ON t.product_id = u.product_id""",
     ),
     "upsert_merge": (
         ("prices", "seen_prices"),

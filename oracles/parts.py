@@ -346,6 +346,18 @@ part(
 SELECT DISTINCT purchase_date AS day, customer_unique_id, order_id FROM sold
 WHERE purchase_date IS NOT NULL AND customer_unique_id IS NOT NULL""",
 )
+part(
+    "buyer_days",
+    ("base",),
+    "SELECT DISTINCT day, customer_unique_id AS c FROM base WHERE c IS NOT NULL AND day IS NOT NULL",
+)
+part(
+    "windows",
+    ("buyer_days",),
+    """
+SELECT CAST(unnest(generate_series(min(day), max(day), INTERVAL 1 DAY)) AS DATE) AS day, days
+FROM buyer_days, (SELECT CAST(unnest([7, 30, 90]) AS INTEGER) AS days) GROUP BY days""",
+)
 part(
     "cust_kpi",
     ("base",),

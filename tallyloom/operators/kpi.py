@@ -136,7 +136,12 @@ def kpi_snapshots(orders: DataFrame) -> DataFrame:
     shuffled once.  On a day without any known buyer the customer measures are
     zero.
     """
-    running = running_customers(daily_events(customer_days(orders)))
+    return snapshots_of_events(daily_events(customer_days(orders)))
+
+
+def snapshots_of_events(events: DataFrame) -> DataFrame:
+    """The same rows from the sums of events per day."""
+    running = running_customers(events)
     has_buyers = F.col("buyers") > 0
     mean = F.try_divide("revenue", "orders")
     return running.select(

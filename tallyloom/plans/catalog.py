@@ -15,14 +15,17 @@ from pyspark.sql import functions as F
 
 from tallyloom.functions.dates import latest, within_dates, within_preset
 from tallyloom.models import forecast, per_series, recommend, segments
-from tallyloom.operators import facts, kpi, merge, metrics, rfm
+from tallyloom.operators import facts, kpi, kpi_state, merge, metrics, periods, rfm
 from tallyloom.operators.clean import clean_categories, clean_order_reviews
 from tallyloom.operators.tables import RetailTables
-from tallyloom.plans import dashboard, views
+from tallyloom.plans import dashboard, sql, views
 from tallyloom.session import apply_runtime_defaults, cut_lineage, ensure_checkpoint_dir
+from tallyloom.sinks import managed
 from tallyloom.sinks.tables import write_parquet
 from tallyloom.sources import sample
 from tallyloom.sources.files import scan_csv
+from tallyloom.sources.rejects import land_csv
+from tallyloom.sources.schemas import raw_schema
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -362,6 +365,84 @@ def _reviews_from_csv(s: Sample) -> DataFrame:
     return clean_order_reviews(scan_csv(s.spark, folder, raw.schema, multi_line=True))
 
 
+def _rejected_rows(s: Sample) -> DataFrame:
+    """Raw items as lines of text, some of them broken, and what is rejected of them and why."""
+    items = sample.raw_order_items(s.spark, s.folder)
+    key, fields = F.col("order_id"), [F.col(c).cast("string") for c in items.columns]
+    short = F.concat_ws(",", *fields[:-1])
+    no_number = F.concat_ws(",", *fields[:5], F.lit("n/a"), fields[6])
+    no_key = F.concat(F.lit(","), F.concat_ws(",", *fields[1:]))
+    line = (
+        F.when(key % 97 == 0, no_number)
+        .when(key % 89 == 0, short)
+        .when(key % 83 == 0, no_key)
+        .otherwise(F.concat_ws(",", *fields))
+    )
+    folder = _fresh_folder(s, "item-lines")
+    items.select(line.alias("value")).write.text(folder)
+    landed = land_csv(
+        s.spark, folder, raw_schema("order_items"), _fresh_folder(s, "items"), ["order_id"], header=False
+    )
+    return landed.rejected
+
+
+def _inferred_profile(s: Sample) -> DataFrame:
+    """Raw payments landed as CSV: the types that a scan without schema finds, and counts."""
+    folder = _fresh_folder(s, "payments-csv")
+    sample.raw_order_payments(s.spark, s.folder).write.option("header", True).csv(folder)
+    scanned = scan_csv(s.spark, folder)
+    kinds = F.create_map(*(F.lit(x) for pair in scanned.dtypes for x in pair))
+    return merge.table_profile(scanned).select(
+        "column_name", F.element_at(kinds, F.col("column_name")).alias("inferred"), "row_count", "null_count"
+    )
+
+
+def _upserted_in_place(s: Sample) -> DataFrame:
+    """The same merge on a managed table, of which only the touched files are rewritten."""
+    prices, updates = _upsert_inputs(s)
+    root = _fresh_folder(s, "prices")
+    managed.create_table(prices, root, ["product_id"])
+    managed.upsert_table(updates, root)
+    return managed.read_table(s.spark, root, prices)
+
+
+def _kpi_in_batches(s: Sample) -> DataFrame:
+    """Snapshots after a first load without every fourth order, and a batch.
+
+    Orders that are canceled were not yet at the first load; the batch brings the
+    orders that were missing and takes those back that turned canceled.
+    """
+    tables, gone = s.tables, F.col("order_status").isin("canceled", "unavailable")
+    early = tables.orders.filter(F.col("order_id") % 4 != 0)
+    late = tables.orders.filter(F.col("order_id") % 4 == 0)
+    as_sold = F.when(gone, "processing").otherwise(F.col("order_status"))
+
+    def order_facts(orders: DataFrame) -> DataFrame:
+        named = {"orders": orders, "customers": tables.customers, "order_items": tables.order_items}
+        return facts.order_facts(RetailTables(named.__getitem__))
+
+    state = kpi_state.initial_state(order_facts(early.withColumn("order_status", as_sold)))
+    state = kpi_state.KpiState(cut_lineage(state.days), cut_lineage(state.events))
+    turned = early.filter(gone).withColumn("order_status", as_sold)
+    return kpi_state.apply_batch(state, order_facts(late), order_facts(turned)).snapshots()
+
+
+def _distinct_customers(s: Sample) -> DataFrame:
+    bitmaps = cut_lineage(periods.daily_bitmaps(s.orders()))
+    parts = [
+        periods.distinct_trailing(bitmaps, days).withColumn("days", F.lit(days)) for days in (7, 30, 90)
+    ]
+    return parts[0].unionByName(parts[1]).unionByName(parts[2])
+
+
+def _in_sql(statement: str) -> Callable[[Sample], DataFrame]:
+    def build(s: Sample) -> DataFrame:
+        sql.register(s.spark, s.tables)
+        return s.spark.sql(statement)
+
+    return build
+
+
 def _snapshots_from_fact_table(s: Sample) -> DataFrame:
     """KPI snapshots read from a fact table written by month."""
     master = write_parquet(
@@ -497,6 +578,8 @@ BUILDERS: dict[str, Callable[[Sample], DataFrame]] = {
     "clean_order_reviews": _cleaned("order_reviews"),
     "categories_augmented": _cleaned("categories"),
     "reviews_from_csv": _reviews_from_csv,
+    "rejected_rows": _rejected_rows,
+    "inferred_profile": _inferred_profile,
     # facts
     "snapshots_from_fact_table": _snapshots_from_fact_table,
     "payments_per_order": lambda s: facts.payments_per_order(s.tables.order_payments),
@@ -511,6 +594,11 @@ BUILDERS: dict[str, Callable[[Sample], DataFrame]] = {
     "customers_active_30d": _customer_measure("active_customers"),
     "repeat_rate": _customer_measure("repeat_rate"),
     "kpi_snapshots": Sample.snapshots,
+    "kpi_in_batches": _kpi_in_batches,
+    "distinct_customers_period": _distinct_customers,
+    "distinct_customers_month": lambda s: periods.distinct_by_period(
+        periods.daily_bitmaps(s.orders()), F.trunc("day", "month")
+    ),
     "kpi_deltas": lambda s: kpi.kpi_deltas(s.snapshots()),
     "kpi_summary": lambda s: kpi.kpi_summary(s.snapshots()),
     "kpi_cards": lambda s: dashboard.kpi_cards(kpi.kpi_summary(s.snapshots())),
@@ -559,8 +647,17 @@ BUILDERS: dict[str, Callable[[Sample], DataFrame]] = {
     "channel_rows": lambda s: dashboard.channel_rows(s.channels()),
     "channel_count": lambda s: dashboard.channel_count(s.channels()),
     "activity_heatmap": lambda s: dashboard.activity_heatmap(s.tables.orders),
+    "activity_heatmap_newest": lambda s: dashboard.activity_heatmap(s.tables.orders, newest=5000),
+    # views and parameter queries as SQL text
+    "sql_months_of_revenue": _in_sql("SELECT * FROM months_of_revenue(6)"),
+    "sql_best_products": _in_sql("SELECT * FROM best_products(10, 'Promo')"),
+    "sql_orders_of_period": _in_sql(
+        "SELECT * FROM orders_of_period(DATE '1996-03-01', DATE '1996-03-31')"
+    ),
+    "sql_channel_performance": _in_sql("SELECT * FROM v_channel_performance"),
     # writes as results, and the model log
     "upsert_merge": _upserted(None),
+    "upsert_in_place": _upserted_in_place,
     "upsert_subset": _upserted(["price"]),
     "upsert_ignore": _upserted([]),
     "upsert_forecast": _forecast_upsert,

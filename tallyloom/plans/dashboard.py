@@ -266,13 +266,15 @@ def recent_order_rows(
     return rows.orderBy(F.col("date").desc(), "raw_id").limit(limit) if limit else rows
 
 
-def activity_heatmap(orders: DataFrame) -> DataFrame:
-    """All orders by hour and weekday, relative to the busiest cell.
+def activity_heatmap(orders: DataFrame, newest: int | None = None) -> DataFrame:
+    """Orders by hour and weekday, relative to the busiest cell: all, or so many of the newest.
 
     Only status ``canceled`` is left out here, and so is an unknown status.
     """
     kept = orders.filter(F.col("order_status") != "canceled")
     bought = F.col("order_purchase_timestamp")
+    if newest is not None:
+        kept = kept.orderBy(bought.desc(), "order_id").limit(newest)
     counts = kept.groupBy(
         F.hour(bought).alias("hour"), F.weekday(bought).alias("weekday")
     ).agg(F.count("*").alias("orders"))
