@@ -28,7 +28,8 @@ from tallyloom.llm.shared import bounded_batches, written
 SIZES = (4, 5, 6)
 BUCKET_BITS = 22
 SLICE_BITS = 6
-TRAIN_ROWS = 50_000
+TRAIN_ROWS = 30_000
+SLICE_BYTES = 1 << 19
 FEATURES = 1 << 14
 SIGNIFICANT = 3.0
 PENALTY = 1e-4
@@ -83,7 +84,7 @@ def held(column: pa.Array, wanted: np.ndarray | None = None) -> Iterator[tuple[i
     `wanted` marks the buckets of interest; without it all are given.
     """
     data, offsets = text_buffers(column)
-    for a, b in row_slices(offsets):
+    for a, b in row_slices(offsets, SLICE_BYTES):
         begin = offsets[a]
         codes, at = code_points(data[begin : offsets[b]], offsets[a : b + 1] - begin)
         found = [np.zeros(0, np.uint64)]
