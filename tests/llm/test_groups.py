@@ -143,6 +143,24 @@ def test_adaptive_scan_recall_and_scores(spark):
         assert r["score"] == pytest.approx(float(arrays[r["query_id"]] @ arrays[r["vec_id"]]), abs=1e-12)
 
 
+@pytest.mark.parametrize("folder, least", [("sf0.001", 0.95), ("sf0.01", 0.95), ("sf0.1", 0.95)])
+def test_adaptive_scan_recall_on_given_vectors(spark, sample_folder, folder, least):
+    df = spark.read.parquet(f"{sample_folder.replace('sf0.01', folder)}/embeddings.parquet")
+    rows = df.select("vec_id", "embedding").toPandas()
+    ids, x = rows["vec_id"].to_numpy(), np.stack(rows["embedding"]).astype(np.float64)
+    asked = np.flatnonzero(ids % 20 == 0)
+    scores = x[asked] @ x.T
+    scores[np.arange(len(asked)), asked] = -np.inf
+    best = np.argsort(-scores, axis=1)[:, :20]
+    expected = {(ids[q], ids[b]) for q, line in zip(asked, best) for b in line}
+    found = nearest(df, df.where("vec_id % 20 = 0")).collect()
+    pairs = {(r["query_id"], r["vec_id"]) for r in found}
+    assert len(found) == len(expected) and len(pairs & expected) >= least * len(expected)
+    if folder == "sf0.01":
+        again = nearest(df.repartition(13), df.where("vec_id % 20 = 0").repartition(5)).collect()
+        assert sorted(map(tuple, again)) == sorted(map(tuple, found))
+
+
 def with_copies(spark, seed=3):
     """Rows with a near candidate repeated 60 times and one id with three vectors."""
     draw = np.random.default_rng(seed)
@@ -159,7 +177,7 @@ def test_repeated_candidates_take_one_place(spark, search, scale):
     queries = spark.createDataFrame([(900, rows[0][1])], "vec_id long, embedding array<double>")
     query = cut(scale * np.array(rows[0][1]))
     expected = sorted(((-float(query @ np.array(v)), i) for i, v in candidates))[:20]
-    more = {} if search is exact_top_k else {"probe_share": 1.0}
+    more = {} if search is exact_top_k else {"recall": 1.0}
     found = search(df, queries, **more).orderBy("rank").collect()
     assert [(r["rank"], r["vec_id"]) for r in found] == [(n + 1, i) for n, (_, i) in enumerate(expected)]
     assert [r["score"] for r in found] == pytest.approx([-s for s, _ in expected])
