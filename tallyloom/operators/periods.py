@@ -22,7 +22,7 @@ def daily_bitmaps(orders: DataFrame) -> DataFrame:
     """
     bought = orders.filter(F.col("purchase_date").isNotNull() & F.col(PERSON).isNotNull())
     pairs = bought.select(F.col("purchase_date").alias("day"), PERSON).distinct()
-    number = F.col("number").cast("long")
+    number = F.col("number").cast("long") + 1  # bitmaps begin with number 1
     return (
         pairs.join(dense_index(pairs, PERSON, "number"), PERSON)
         .groupBy("day", F.bitmap_bucket_number(number).alias("bucket"))

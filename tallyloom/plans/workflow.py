@@ -1,7 +1,8 @@
 """Multi-stage runs.  Each stage reads the Parquet its predecessor wrote.
 
 No stage result is computed twice, and a lost executor replays at most one
-stage.  Stages return the scan of what they wrote.
+stage.  Stages return the scan of what they wrote.  With ``resume`` a stage that
+an earlier run finished on the same inputs and settings is not run again.
 """
 
 from __future__ import annotations
@@ -21,8 +22,8 @@ from tallyloom.operators.merge import table_profile
 from tallyloom.operators.metrics import category_metrics, product_metrics
 from tallyloom.operators.rfm import rfm_features
 from tallyloom.operators.tables import RetailTables
+from tallyloom.plans.stages import StageLog
 from tallyloom.sinks.runlog import log_run, run_rows
-from tallyloom.sinks.tables import write_parquet
 
 LOG = logging.getLogger(__name__)
 
@@ -42,6 +43,8 @@ class WorkflowConfig:
     forecast_depth: int = forecast.TREE_DEPTH
     horizon: int = forecast.HORIZON
     holdout_days: int = forecast.HOLDOUT_DAYS
+    # Leave out stages that are finished on the same inputs.
+    resume: bool = False
 
     def path(self, table: str) -> str:
         return f"{self.root.rstrip('/')}/{table}"
@@ -60,13 +63,20 @@ def require_sales(lines: DataFrame) -> None:
 def run_cleaning(
     spark: SparkSession, raw: Mapping[str, DataFrame], config: WorkflowConfig
 ) -> RetailTables:
+    log = StageLog(spark, config.root, config.resume)
     for name, clean in CLEANERS.items():
         # Completion reads the written products, so categories come last.
         if name != "categories":
-            write_parquet(clean(raw[name]), config.path(name))
-    products = spark.read.parquet(config.path("products"))
-    completed = complete_categories(CLEANERS["categories"](raw["categories"]), products)
-    write_parquet(completed, config.path("categories"))
+            log.source(f"raw {name}", raw[name])
+            log.write(name, [f"raw {name}"], lambda name=name, clean=clean: clean(raw[name]))
+    log.source("raw categories", raw["categories"])
+    log.write(
+        "categories",
+        ["raw categories", "products"],
+        lambda: complete_categories(
+            CLEANERS["categories"](raw["categories"]), spark.read.parquet(config.path("products"))
+        ),
+    )
     return RetailTables.from_parquet(spark, config.root)
 
 
@@ -80,36 +90,44 @@ def run_preprocessing(
     if reuse:
         master = spark.read.parquet(config.path("master_facts"))
     else:
-        master = write_parquet(
-            master_facts(tables), config.path("master_facts"), partition_by=["purchase_month"]
+        log = StageLog(spark, config.root, config.resume)
+        master = log.write(
+            "master_facts", list(CLEANERS), lambda: master_facts(tables), partition_by=["purchase_month"]
         )
-    lines = sold_lines(master)
-    require_sales(lines)
-    features = rfm_features(orders_from_lines(lines))
-    written = write_parquet(features, config.path("customer_features"))
+
+    def features() -> DataFrame:
+        lines = sold_lines(master)
+        require_sales(lines)
+        return rfm_features(orders_from_lines(lines))
+
+    written = StageLog(spark, config.root, config.resume).write("customer_features", ["master_facts"], features)
     return {"master_facts": master, "customer_features": written}
 
 
 def run_segments(spark: SparkSession, config: WorkflowConfig) -> DataFrame:
-    features = spark.read.parquet(config.path("customer_features"))
-    model = segments.fit_segments(features, config.clusters)
-    written = write_parquet(
-        segments.assign_segments(model, features), config.path("customer_segments")
-    )
-    params = {"k": config.clusters, "seed": segments.SEED, "labels": model.labels}
-    rows = run_rows(spark, "kmeans", {"silhouette": model.silhouette}, params)
-    log_run(rows, config.path("ml_model_runs"))
-    return written
+    def build() -> DataFrame:
+        features = spark.read.parquet(config.path("customer_features"))
+        model = segments.fit_segments(features, config.clusters)
+        params = {"k": config.clusters, "seed": segments.SEED, "labels": model.labels}
+        rows = run_rows(spark, "kmeans", {"silhouette": model.silhouette}, params)
+        log_run(rows, config.path("ml_model_runs"))
+        return segments.assign_segments(model, features)
+
+    log = StageLog(spark, config.root, config.resume)
+    return log.write("customer_segments", ["customer_features"], build, settings=config.clusters)
 
 
 def run_recommendations(spark: SparkSession, config: WorkflowConfig) -> DataFrame:
-    master = spark.read.parquet(config.path("master_facts"))
-    fitted = recommend.fit_recommender(recommend.interactions(sold_lines(master)), config.als)
-    written = write_parquet(recommend.recommend_all(fitted), config.path("recommendations"))
-    metrics = {"rmse": fitted.rmse, "precision_at_k": fitted.precision_at_k}
-    rows = run_rows(spark, "als", metrics, asdict(config.als))
-    log_run(rows, config.path("ml_model_runs"))
-    return written
+    def build() -> DataFrame:
+        master = spark.read.parquet(config.path("master_facts"))
+        fitted = recommend.fit_recommender(recommend.interactions(sold_lines(master)), config.als)
+        metrics = {"rmse": fitted.rmse, "precision_at_k": fitted.precision_at_k}
+        rows = run_rows(spark, "als", metrics, asdict(config.als))
+        log_run(rows, config.path("ml_model_runs"))
+        return recommend.recommend_all(fitted)
+
+    log = StageLog(spark, config.root, config.resume)
+    return log.write("recommendations", ["master_facts"], build, settings=asdict(config.als))
 
 
 def run_metrics(spark: SparkSession, config: WorkflowConfig) -> dict[str, DataFrame]:
@@ -117,30 +135,36 @@ def run_metrics(spark: SparkSession, config: WorkflowConfig) -> dict[str, DataFr
     lines = sold_lines(spark.read.parquet(config.path("master_facts")))
     require_sales(lines)
     results = {
-        "kpi_snapshots": kpi_snapshots(orders_from_lines(lines)),
-        "product_metrics": product_metrics(lines),
-        "category_metrics": category_metrics(lines),
+        "kpi_snapshots": lambda: kpi_snapshots(orders_from_lines(lines)),
+        "product_metrics": lambda: product_metrics(lines),
+        "category_metrics": lambda: category_metrics(lines),
     }
+    log = StageLog(spark, config.root, config.resume)
     return {
-        name: write_parquet(stamped(df), config.path(name)) for name, df in results.items()
+        name: log.write(name, ["master_facts"], lambda build=build: stamped(build()))
+        for name, build in results.items()
     }
 
 
 def run_forecast(spark: SparkSession, config: WorkflowConfig) -> DataFrame:
-    lines = sold_lines(spark.read.parquet(config.path("master_facts")))
-    run = forecast.run_forecast(
-        forecast.daily_series(lines),
-        kind=config.forecast_model,
-        horizon=config.horizon,
-        holdout_days=config.holdout_days,
-        trees=config.forecast_trees,
-        depth=config.forecast_depth,
-    )
-    written = write_parquet(run.forecasts, config.path("sales_forecasts"))
-    params = {"model": run.model_name, "horizon": config.horizon, "days": run.days}
-    rows = run_rows(spark, "sales_forecast", {"rmse": run.rmse, "r2": run.r2}, params)
-    log_run(rows, config.path("ml_model_runs"))
-    return written
+    settings = {
+        "kind": config.forecast_model,
+        "horizon": config.horizon,
+        "holdout_days": config.holdout_days,
+        "trees": config.forecast_trees,
+        "depth": config.forecast_depth,
+    }
+
+    def build() -> DataFrame:
+        lines = sold_lines(spark.read.parquet(config.path("master_facts")))
+        run = forecast.run_forecast(forecast.daily_series(lines), **settings)
+        params = {"model": run.model_name, "horizon": config.horizon, "days": run.days}
+        rows = run_rows(spark, "sales_forecast", {"rmse": run.rmse, "r2": run.r2}, params)
+        log_run(rows, config.path("ml_model_runs"))
+        return run.forecasts
+
+    log = StageLog(spark, config.root, config.resume)
+    return log.write("sales_forecasts", ["master_facts"], build, settings=settings)
 
 
 def run_analytics(spark: SparkSession, config: WorkflowConfig) -> dict[str, DataFrame]:

@@ -104,3 +104,34 @@ def test_tables_read_back_equal_tables_computed(spark, done):
         by_key(facts.payments_per_order(t.order_payments), "order_id") for t in (back, computed)
     ]
     assert paid[0] == paid[1]
+
+
+def test_a_run_goes_on_where_it_stopped(spark, tmp_path, monkeypatch):
+    config = workflow.WorkflowConfig(root=str(tmp_path / "run"), steps=["segments", "metrics"], resume=True)
+    raw_tables = sample.raw_tables(spark, SMALL)
+
+    def fails(*_, **__):
+        raise RuntimeError("lost")
+
+    with monkeypatch.context() as patch:
+        patch.setattr(workflow, "rfm_features", fails)
+        with pytest.raises(RuntimeError):
+            workflow.run_all(spark, raw_tables, config)
+    files = {t: set(spark.read.parquet(config.path(t)).inputFiles()) for t in ("orders", "categories", "master_facts")}
+    built = []
+    for name in ("master_facts", "complete_categories", "rfm_features", "kpi_snapshots"):
+        function = getattr(workflow, name)
+        monkeypatch.setattr(workflow, name, lambda *a, name=name, f=function, **k: (built.append(name), f(*a, **k))[1])
+    first = workflow.run_all(spark, raw_tables, config)
+    assert built == ["rfm_features", "kpi_snapshots"]
+    for table, names in files.items():
+        assert set(spark.read.parquet(config.path(table)).inputFiles()) == names
+    # Nothing is left to do, and other settings do only what they change.
+    again = workflow.run_all(spark, raw_tables, config)
+    assert built == ["rfm_features", "kpi_snapshots"]
+    assert again["kpi_snapshots"].count() == first["kpi_snapshots"].count() > 0
+    before = set(again["customer_segments"].inputFiles())
+    fewer = workflow.run_all(spark, raw_tables, replace(config, clusters=3))
+    assert built == ["rfm_features", "kpi_snapshots"] and not before & set(fewer["customer_segments"].inputFiles())
+    counts = {r.stage: r.rows for r in spark.read.parquet(f"{config.root}/_stages").collect()}
+    assert counts["customer_features"] == first["customer_features"].count()
