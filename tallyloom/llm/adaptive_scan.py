@@ -8,7 +8,9 @@ centres; a query goes to the lists nearest to it and to no others.  A list is
 scanned in blocks of columns, and after each block a hypothesis test abandons
 the candidates whose partial distance is too large for the query's k-th best
 distance so far.  Some rows of the sample lie in a common list that every query
-scans first and whole, so that there is such a distance from the start.
+scans first and whole, so that there is such a distance from the start; then
+come the nearest list, a few more, and the others, each round with the distance
+that the round before has found.
 
 Centres are fitted on a bounded sample, drawn and ordered by hash; every row is
 in one list, or in the common one.  How many lists a query probes is measured: on queries from the
@@ -246,37 +248,13 @@ def nearest(
     listed = written(others.mapInArrow(assign, "vec_id long, v array<double>, list int"), "listed")
     schema = "vec_id long, v array<double>, bound double, lists array<int>, near array<long>, scores array<double>"
     answered = written(asked.mapInArrow(choose, schema), "probing")
-    first_found = answered.select(
+    first = answered.select(
         F.col("vec_id").alias("query_id"), F.explode(F.arrays_zip("near", "scores")).alias("x")
     ).select("query_id", F.col("x.near").alias("vec_id"), F.col("x.scores").alias("score"))
-    first_found = first_found.where(F.col("score") > float("-inf"))
-    probing = answered.select("vec_id", "v", "bound", F.explode("lists").alias("list"))
-    # One number for each list and each kind: how many tasks share its rows, and its queries.
-    sizes, callers = (
-        {r["list"]: r["count"] for r in df.groupBy("list").count().collect()} for df in (listed, probing)
-    )
-    span = range(len(fitted.centres))
-    shares = [max(1, -(-sizes.get(i, 0) // ROWS_AT_ONCE)) for i in span]
-    blocks = [-(-callers.get(i, 0) // QUERY_BLOCK) for i in span]
-    shares, blocks = (
-        F.get(F.array(*map(F.lit, counts)), F.col("list")).cast("long") for counts in (shares, blocks)
-    )
-    zero = F.lit(0).cast("long")
-    there = listed.where(blocks > 0).select(
-        "vec_id",
-        "v",
-        "list",
-        F.pmod(F.xxhash64("vec_id", "v"), shares).alias("share"),
-        F.explode(F.sequence(zero, blocks - 1)).alias("block"),
-    )
-    own = probing.select(
-        "vec_id",
-        "v",
-        "bound",
-        "list",
-        F.pmod(F.xxhash64("vec_id"), blocks).alias("block"),
-        F.explode(F.sequence(zero, shares - 1)).alias("share"),
-    )
+    best = first.where(F.col("score") > float("-inf"))
+    answered = answered.select("vec_id", "v", "bound", "lists")
+    # One number for each list: its rows.
+    sizes = {r["list"]: r["count"] for r in listed.groupBy("list").count().collect()}
 
     def search(asked: pa.Table, there: pa.Table) -> pa.Table:
         empty = np.zeros(0, np.int64)
@@ -302,7 +280,48 @@ def nearest(
         best = best[turn < k]
         return pa.table({"query_id": query[line[best]], "vec_id": ids[place[best]], "score": scores[best]})
 
-    keys = ("list", "share", "block")
-    pairs = own.groupBy(*keys).cogroup(there.groupBy(*keys))
-    found = pairs.applyInArrow(search, "query_id long, vec_id long, score double")
-    return best_ranked(first_found.union(found), k)
+    def scanned(probing: DataFrame) -> DataFrame:
+        """What (vec_id, v, bound, list) rows find; lists of many rows or queries meet in parts."""
+        callers = {r["list"]: r["count"] for r in probing.groupBy("list").count().collect()}
+        span = range(len(fitted.centres))
+        shares = [max(1, -(-sizes.get(i, 0) // ROWS_AT_ONCE)) for i in span]
+        blocks = [-(-callers.get(i, 0) // QUERY_BLOCK) for i in span]
+        shares, blocks = (
+            F.get(F.array(*map(F.lit, counts)), F.col("list")).cast("long") for counts in (shares, blocks)
+        )
+        zero = F.lit(0).cast("long")
+        there = listed.where(blocks > 0).select(
+            "vec_id",
+            "v",
+            "list",
+            F.pmod(F.xxhash64("vec_id", "v"), shares).alias("share"),
+            F.explode(F.sequence(zero, blocks - 1)).alias("block"),
+        )
+        own = probing.select(
+            "vec_id",
+            "v",
+            "bound",
+            "list",
+            F.pmod(F.xxhash64("vec_id"), blocks).alias("block"),
+            F.explode(F.sequence(zero, shares - 1)).alias("share"),
+        )
+        keys = ("list", "share", "block")
+        pairs = own.groupBy(*keys).cogroup(there.groupBy(*keys))
+        return pairs.applyInArrow(search, "query_id long, vec_id long, score double")
+
+    ends = sorted({1, -(-fitted.probes // 8), fitted.probes})
+    square = F.aggregate("v", F.lit(0.0), lambda s, x: s + x * x)
+    for start, end in zip([0, *ends[:-1]], ends, strict=True):
+        few_lists = answered.withColumn("list", F.explode(F.slice("lists", start + 1, end - start)))
+        found = scanned(few_lists.select("vec_id", "v", "bound", "list"))
+        best = written(best_ranked(best.union(found), k).drop("rank"), "best")
+        if end < fitted.probes:
+            worst = best.groupBy("query_id").agg(F.count("*").alias("found"), F.min("score").alias("worst"))
+            reach = (square + F.lit(float(norm2)) - 2 * F.col("worst")) * (1 + 1e-9) + 1e-9
+            answered = written(
+                answered.join(worst, answered["vec_id"] == worst["query_id"], "left").select(
+                    "vec_id", "v", F.when(F.col("found") >= k, reach).otherwise(F.col("bound")).alias("bound"), "lists"
+                ),
+                "probing",
+            )
+    return best_ranked(best, k)
