@@ -410,41 +410,58 @@ def removed_spans(runs: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray
 
 
 def remove_repeats(
-    docs: DataFrame, length: int = 400, doc_id: str = "doc_id", text: str = "text"
+    docs: DataFrame,
+    length: int = 400,
+    doc_id: str = "doc_id",
+    text: str = "text",
+    also: tuple[int, ...] = (),
 ) -> DataFrame:
     """Every row's columns, with `kept` (bytes that stay), n_bytes, n_removed and n_spans.
 
+    For every other length in `also`, n_removed_<length> counts the bytes that strings
+    of that length would remove; they stay in `kept`.
+
     A byte goes if a string of `length` bytes that covers it also starts
     anywhere else in the table, in the same text included; strings are judged
-    on the input.  A null text is empty.  Repeated rows repeat each other.
-    Columns of the input must not have these names.  Equal strings are told by
-    64-bit hashes.
+    on the input.  A null text is empty.  Repeated rows repeat each other.  Texts of
+    any length count whole, and an empty table gives no rows.  Columns of the
+    input must not have the names that are added; others may have any.  Equal
+    strings are told by 64-bit hashes.
     """
     mark = F.xxhash64(F.col(text))
     rows = docs.select(
         F.col(doc_id).alias("doc_id"), mark.alias("mark"), F.col(text).alias("text")
     )
-    runs = repeated_runs(rows, length)
+    runs = repeated_runs(rows, length).withColumn("length", F.lit(length))
+    for other in also:
+        runs = runs.unionByName(repeated_runs(rows, other).withColumn("length", F.lit(other)))
     per_row = written(
-        runs.groupBy("doc_id", "mark").agg(F.collect_list(F.array("low", "high")).alias("runs")),
+        runs.groupBy("doc_id", "mark").agg(F.collect_list(F.array("low", "high", "length")).alias("runs")),
         "runs",
-    ).select(F.col("doc_id").alias("run_id"), F.col("mark").alias("run_mark"), "runs")
+    )
+    # Names that no column of the input has.
+    run_id, run_mark, run_list = (max(docs.columns, key=len) + end for end in ("_id", "_mark", "_runs"))
+    per_row = per_row.toDF(run_id, run_mark, run_list)
     joined = docs.join(
         per_row,
-        docs[doc_id].eqNullSafe(per_row["run_id"]) & (F.xxhash64(docs[text]) == per_row["run_mark"]),
+        docs[doc_id].eqNullSafe(per_row[run_id]) & (F.xxhash64(docs[text]) == per_row[run_mark]),
         "left",
-    ).drop("run_id", "run_mark")
+    ).select(*(docs[c] for c in docs.columns), per_row[run_list])
     kept = docs.columns
     at = kept.index(text)
+    counted = ["n_bytes", "n_removed", "n_spans", *(f"n_removed_{other}" for other in also)]
 
     def cut(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             out, sizes, removed, spans = [], [], [], []
+            others = [[] for _ in also]
             all_runs = batch.column(len(kept)).to_pylist()
             for k, data in each_text(batch, at):
-                low, high = removed_spans(
-                    np.array(all_runs[k] or [], np.int64).reshape(-1, 2), length
-                )
+                found = np.array(all_runs[k] or [], np.int64).reshape(-1, 3)
+                low, high = removed_spans(found[found[:, 2] == length, :2], length)
+                for other, counts in zip(also, others, strict=True):
+                    begin, end = removed_spans(found[found[:, 2] == other, :2], other)
+                    counts.append(int((end - begin).sum()))
                 starts, stops = np.append(0, high), np.append(low, len(data))
                 out.append(gather_ragged(data, starts, stops - starts).tobytes())
                 sizes.append(len(data))
@@ -454,14 +471,12 @@ def remove_repeats(
                 [
                     *batch.columns[: len(kept)],
                     pa.array(out, pa.binary()),
-                    *(pa.array(x, pa.int64()) for x in (sizes, removed, spans)),
+                    *(pa.array(x, pa.int64()) for x in (sizes, removed, spans, *others)),
                 ],
-                [*kept, "kept", "n_bytes", "n_removed", "n_spans"],
+                [*kept, "kept", *counted],
             )
 
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema)
-    return joined.mapInArrow(
-        cut, f"{schema}, kept binary, n_bytes long, n_removed long, n_spans long"
-    )
+    return joined.mapInArrow(cut, f"{schema}, kept binary, " + ", ".join(f"{c} long" for c in counted))
 
 

@@ -74,9 +74,10 @@ def test_removed_bytes_equal_all_windows(spark):
         texts[k] += part[begin : begin + draw.choice([350, 399, 400, 401, 900])]
     texts += ["ab" * 500, "x" * 401, texts[3], texts[3], "", None]
     docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(5)
-    found = remove_repeats(docs).orderBy("doc_id").collect()
+    found = remove_repeats(docs, also=(200,)).orderBy("doc_id").collect()
     got = [(r["n_bytes"], r["n_removed"], r["n_spans"], bytes(r["kept"])) for r in found]
     assert got == without_repeats(texts, 400)
+    assert [r["n_removed_200"] for r in found] == [r[1] for r in without_repeats(texts, 200)]
 
 
 def test_hot_segments_spread_like_compared_ones(spark):
@@ -97,8 +98,10 @@ def test_hot_segments_spread_like_compared_ones(spark):
 
 
 def test_remove_repeats_odd_rows(odd_docs, no_docs):
-    plain = odd_docs.select("doc_id", "text", F.lit("clash").alias("segment"))
+    clashing = (F.lit(f"clash {c}").alias(c) for c in ("segment", "run_id", "run_mark", "runs", "mark"))
+    plain = odd_docs.select("doc_id", "text", *clashing)
     found = remove_repeats(plain).collect()
+    assert {(r["run_id"], r["runs"], r["mark"]) for r in found} == {("clash run_id", "clash runs", "clash mark")}
     expected = without_repeats([r[1] for r in ROWS], 400)
     assert sorted(bytes(r["kept"]) for r in found) == sorted(e[3] for e in expected)
     assert remove_repeats(no_docs).count() == 0
