@@ -324,6 +324,28 @@ SELECT order_id, order_status, order_purchase_timestamp FROM c_orders
 WHERE CAST(order_purchase_timestamp AS DATE) BETWEEN DATE '1996-03-01' AND DATE '1996-03-31'""",
     ),
     "sql_channel_performance": (("channels",), "SELECT * FROM channels"),
+    "exported_customers": (
+        ("clusters",),
+        "SELECT id, name, segment, CAST(ltv AS VARCHAR) AS ltv, engagement, churn_proxy || '%' AS churn_proxy "
+        f"FROM ({CUSTOMER_ROWS.format('frequency >= 3')})",
+    ),
+    "exported_trend": (
+        ("with_fc",),
+        f"""
+SELECT month_label, CAST({JS_ROUND.format("coalesce(actual, 0)")} AS VARCHAR) AS revenue,
+  CASE WHEN predicted <> 0 THEN CAST({JS_ROUND.format("predicted")} AS VARCHAR) ELSE '' END AS predicted
+FROM with_fc""",
+    ),
+    "exported_categories": (("cm",), CATEGORY_ROWS.format("")),
+    "exported_forecast": (
+        ("fc",),
+        """
+SELECT min(model_name) AS model, count(*) AS horizon_days,
+  CAST(sum(predicted_revenue) AS DOUBLE) AS predicted_total,
+  CAST(sum(coalesce(lower_bound, predicted_revenue)) AS DOUBLE) AS lower_bound,
+  CAST(sum(coalesce(upper_bound, predicted_revenue)) AS DOUBLE) AS upper_bound FROM fc""",
+    ),
+    "logged_runs": (("latest_runs",), "SELECT * FROM latest_runs"),
     "kpi_in_batches": (("snaps",), "SELECT * FROM snaps"),
     "distinct_customers_period": (
         ("buyer_days", "windows"),

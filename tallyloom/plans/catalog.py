@@ -20,7 +20,8 @@ from tallyloom.operators.clean import clean_categories, clean_order_reviews
 from tallyloom.operators.tables import RetailTables
 from tallyloom.plans import dashboard, sql, views
 from tallyloom.session import apply_runtime_defaults, cut_lineage, ensure_checkpoint_dir
-from tallyloom.sinks import managed
+from tallyloom.sinks import exports, managed
+from tallyloom.sinks.runlog import log_run
 from tallyloom.sinks.tables import write_parquet
 from tallyloom.sources import sample
 from tallyloom.sources.files import scan_csv
@@ -397,6 +398,51 @@ def _inferred_profile(s: Sample) -> DataFrame:
     )
 
 
+def _scanned_texts(s: Sample, folder: str, names: list[str]) -> DataFrame:
+    """A CSV export read back as text, empty fields as empty strings."""
+    scanned = scan_csv(s.spark, folder, ", ".join(f"`{n}` string" for n in names))
+    return scanned.select(*(F.coalesce(n, F.lit("")).alias(n) for n in names))
+
+
+def _exported_customers(s: Sample) -> DataFrame:
+    folder = _fresh_folder(s, "customers-csv")
+    exports.export_customers(dashboard.customer_rows(s.clusters_by_rule(), engagement="High"), folder)
+    return _scanned_texts(s, folder, list(exports.CUSTOMER_HEADERS))
+
+
+def _exported_trend(s: Sample) -> DataFrame:
+    folder = _fresh_folder(s, "trend-csv")
+    exports.export_trend(s.monthly_with_forecast(), folder)
+    return _scanned_texts(s, folder, ["month_label", "revenue", "predicted"])
+
+
+def _exported_categories(s: Sample) -> DataFrame:
+    """The categories of a workbench export, read back from its JSON."""
+    folder = _fresh_folder(s, "workbench")
+    rows = dashboard.category_rows(s.category_metrics())
+    kpis, trend = kpi.kpi_summary(s.snapshots()), s.monthly_with_forecast()
+    exports.export_workbench(s.spark, folder, kpis, trend, rows, {"region": "All Regions"})
+    return s.spark.read.schema(rows.schema).json(f"{folder}/category_performance")
+
+
+def _exported_forecast(s: Sample) -> DataFrame:
+    """The forecast of an insights export, read back from its JSON."""
+    folder = _fresh_folder(s, "insights")
+    cards = dashboard.model_cards(s.model_latest())
+    shares = dashboard.segment_rows(views.segment_distribution(s.segments_by_rule()))
+    exports.export_insights(s.spark, folder, cards, shares, dashboard.forecast_summary(s.forecasts()))
+    schema = "model string, horizon_days long, predicted_total double, lower_bound double, upper_bound double"
+    return s.spark.read.schema(schema).json(f"{folder}/forecast_summary")
+
+
+def _logged_runs(s: Sample) -> DataFrame:
+    """The newest metrics of a log that was appended to in two runs."""
+    folder, rows = _fresh_folder(s, "runs"), sample.model_run_log(s.spark, s.folder)
+    for half in (0, 1):
+        log_run(rows.filter(F.col("run_id") % 2 == half), folder)
+    return views.model_latest(s.spark.read.parquet(folder))
+
+
 def _upserted_in_place(s: Sample) -> DataFrame:
     """The same merge on a managed table, of which only the touched files are rewritten."""
     prices, updates = _upsert_inputs(s)
@@ -661,6 +707,11 @@ BUILDERS: dict[str, Callable[[Sample], DataFrame]] = {
     "upsert_subset": _upserted(["price"]),
     "upsert_ignore": _upserted([]),
     "upsert_forecast": _forecast_upsert,
+    "exported_customers": _exported_customers,
+    "exported_trend": _exported_trend,
+    "exported_categories": _exported_categories,
+    "exported_forecast": _exported_forecast,
+    "logged_runs": _logged_runs,
     "nan_to_null": _nan_to_null,
     "table_profile": lambda s: merge.table_profile(s.tables.products),
     "model_latest": Sample.model_latest,
