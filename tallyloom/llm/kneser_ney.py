@@ -17,7 +17,7 @@ from __future__ import annotations
 
 import os
 from collections.abc import Iterable, Iterator
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 from functools import cached_property
 
 import numpy as np
@@ -135,6 +135,8 @@ class KneserNey:
     word_discounts: tuple[float, float, float] = (0.5, 1.0, 1.5)
     pair_types: int = 0
     word_types_mass: float = 1.0
+    # Shards of each kind that have a file; a missing one is an error and not an empty shard.
+    filled: dict[str, frozenset[int]] = field(default_factory=dict)
 
     def __getstate__(self):
         hidden = {"_files", "starts"}
@@ -151,8 +153,8 @@ class KneserNey:
     def mapped(self, name: str, shard: int) -> np.ndarray:
         key = f"{name}-{shard:06d}.npy"
         if key not in self._files:
+            there = shard in self.filled[name]
             path = f"{self.folder}/{key}"
-            there = os.path.exists(path)
             self._files[key] = np.load(path, mmap_mode="r") if there else np.zeros(0, np.uint64)
         return self._files[key]
 
@@ -296,6 +298,7 @@ def train(
     )
     if model.words >= 1 << 32:
         raise ValueError("more distinct words than 32-bit word numbers")
+    model.filled = dict.fromkeys(("words", "word-counts"), frozenset(r["shard"] for r in sizes))
     model.hot = hot_contexts(spark, model, [r["shard"] for r in sizes])
     return add_pairs(rows, model, modulus, held_out)
 
@@ -357,7 +360,7 @@ def add_pairs(rows: DataFrame, model: KneserNey, modulus: int, held_out: int) ->
         small = np.uint32 if not len(counts) or counts.max() < 1 << 32 else np.int64
         save(f"{target}/pair-counts-{shard:06d}.npy", counts.astype(small))
         types = np.bincount(np.minimum(counts, 5), minlength=6)[1:5]
-        out = [(0, "types", b"", b"", b"", *map(int, types))]
+        out = [(shard, "types", b"", b"", b"", *map(int, types))]
         contexts = (pairs >> np.uint64(32)).astype(np.int64)
         heads = np.flatnonzero(np.concatenate([[True], np.diff(contexts) != 0])[: len(contexts)])
         if len(heads):
@@ -380,6 +383,10 @@ def add_pairs(rows: DataFrame, model: KneserNey, modulus: int, held_out: int) ->
         .applyInArrow(write_pairs, STATS_SCHEMA),
         "pair-stats",
     )
+    # At most a few numbers for each shard.
+    listed = stats.select("shard", (F.col("kind") == "types").alias("pairs")).distinct().collect()
+    of_pairs, of_measures = (frozenset(r["shard"] for r in listed if r["pairs"] == p) for p in (True, False))
+    model.filled = model.filled | {"pairs": of_pairs, "pair-counts": of_pairs, "measures": of_measures}
     types = [F.coalesce(F.sum(f"n{k}"), F.lit(0)) for k in range(1, 5)]
     model.pair_discounts = modified_discounts(
         list(stats.where("kind = 'types'").agg(*types).first())

@@ -143,6 +143,17 @@ def test_kneser_ney_probabilities_sum_to_one(some_docs):
     assert total == pytest.approx(1)
 
 
+def test_a_missing_shard_is_an_error(some_docs):
+    import os
+    from pathlib import Path
+
+    model = kneser_ney.train(some_docs)
+    lost = sorted(Path(model.folder).glob("pairs-*.npy"))
+    os.replace(lost[0], lost[0].with_suffix(".gone"))
+    with pytest.raises(Exception, match="No such file"):
+        kneser_ney.score(some_docs, model).collect()
+
+
 def test_kneser_ney_odd_rows(odd_docs, no_docs):
     rows = kneser_ney.score(odd_docs, kneser_ney.train(odd_docs)).collect()
     assert len(rows) == len(ROWS)
