@@ -47,7 +47,8 @@ def apply_runtime_defaults(spark: SparkSession) -> SparkSession:
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Shared checkpoint folder: the one that spark.checkpoint.dir names.
 
-    Where it is unset, one below the warehouse, which all executors share too.
+    Where it is unset, one below the warehouse in local mode; on a cluster that
+    may be a folder of the driver's machine, so there it has to be set.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
@@ -55,6 +56,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         return current
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if not configured:
+        if sc.master != "local" and not sc.master.startswith("local["):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         warehouse = spark.conf.get("spark.sql.warehouse.dir").rstrip("/")
         configured = f"{warehouse}/tallyloom-checkpoints"
     sc.setCheckpointDir(configured)
