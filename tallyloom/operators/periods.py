@@ -44,13 +44,10 @@ def distinct_trailing(bitmaps: DataFrame, days: int) -> DataFrame:
     backwards inside the stretches are all that is needed: two bitmaps a day and
     bucket, however long the window.
     """
-    bounds = bitmaps.agg(F.min("day").alias("first"), F.max("day").alias("last"))
-    calendar = bounds.filter("first is not null").select(
-        "first", F.explode(F.sequence("first", "last")).alias("day")
-    )
-    buckets = bitmaps.select("bucket").distinct().select("bucket", F.lit(1).alias("one"))
+    first, last = (bitmaps.agg(bound("day")).scalar() for bound in (F.min, F.max))
     # Every bucket has a row for every day: a few thousand for each 32,768 customers.
-    grid = calendar.withColumn("one", F.lit(1)).join(buckets, "one").drop("one")
+    bounded = bitmaps.select("bucket").distinct().withColumns({"first": first, "last": last})
+    grid = bounded.select("bucket", "first", F.explode(F.sequence("first", "last")).alias("day"))
     placed = grid.join(bitmaps, ["day", "bucket"], "left").withColumn(
         "stretch", F.floor(F.datediff("day", "first") / days)
     )
@@ -70,4 +67,4 @@ def distinct_trailing(bitmaps: DataFrame, days: int) -> DataFrame:
     ended = unions.select("day", "bucket", F.col("so_far").alias("bits"))
     windows = ended.union(begun).groupBy("day", "bucket").agg(F.bitmap_or_agg("bits").alias("bits"))
     counts = windows.groupBy("day").agg(F.sum(F.bitmap_count("bits")).alias("customers"))
-    return counts.join(calendar.select("day"), "day", "left_semi")
+    return counts.filter(F.col("day") <= last)
