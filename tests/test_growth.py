@@ -8,6 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tallyloom.models import forecast, per_series
+from tallyloom.plans.catalog import Sample
 
 
 def plan_of(df):
@@ -66,3 +67,11 @@ def test_a_series_is_summed_by_few_integers(spark):
     # One sum for each product, and no decimal among them.
     assert len(partial) - 1 <= 40
     assert not any("decimal" in part.split(")")[0] for part in partial[1:])
+
+
+def test_rule_made_clusters_compute_their_features_once(spark, sample_folder, monkeypatch):
+    passes, build = [], Sample.features
+    monkeypatch.setattr(Sample, "features", lambda self: passes.append(1) or build(self))
+    sample = Sample(spark, sample_folder)
+    assert sample.clusters_by_rule().count() == sample.segments_by_rule().count()
+    assert len(passes) == 2  # one for each of the two calls above
