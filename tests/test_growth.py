@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+import re
 from datetime import date, timedelta
 
 import pytest
 from pyspark.sql import functions as F
 
 from tallyloom.models import forecast, per_series
+from tallyloom.operators import facts
 from tallyloom.plans.catalog import Sample
 
 
@@ -75,3 +77,10 @@ def test_rule_made_clusters_compute_their_features_once(spark, sample_folder, mo
     sample = Sample(spark, sample_folder)
     assert sample.clusters_by_rule().count() == sample.segments_by_rule().count()
     assert len(passes) == 2  # one for each of the two calls above
+
+
+def test_the_many_columns_of_an_order_join_last(spark, tables):
+    plan = plan_of(facts.master_facts(tables))
+    joins = re.findall(r"(?:SortMergeJoin|BroadcastHashJoin|ShuffledHashJoin) \[(\w+)#", plan)
+    # The plan is printed from the top.
+    assert joins[0] == "order_id"
