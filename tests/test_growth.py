@@ -8,9 +8,10 @@ from datetime import date, timedelta
 import pytest
 from pyspark.sql import functions as F
 
-from tallyloom.models import forecast, per_series
+from tallyloom.models import forecast, per_series, recommend
 from tallyloom.operators import facts
-from tallyloom.plans.catalog import Sample
+from tallyloom.operators.dedup import keep_first
+from tallyloom.plans.catalog import Sample, all_queries
 
 
 def plan_of(df):
@@ -84,3 +85,45 @@ def test_the_many_columns_of_an_order_join_last(spark, tables):
     joins = re.findall(r"(?:SortMergeJoin|BroadcastHashJoin|ShuffledHashJoin) \[(\w+)#", plan)
     # The plan is printed from the top.
     assert joins[0] == "order_id"
+
+
+def test_lean_tables_begin_like_the_whole_ones(spark, tables):
+    for name, columns in (
+        ("customers", ["customer_id", "customer_unique_id"]),
+        ("orders", ["order_id", "customer_id", "order_status", "order_purchase_timestamp"]),
+        ("order_items", ["order_id", "order_item_id", "product_id"]),
+        ("order_items", ["order_id", "order_item_id", "freight_value"]),
+        ("order_reviews", ["review_id", "order_id", "review_score"]),
+    ):
+        lean, whole = tables.lean(name, *columns), getattr(tables, name)
+        assert len(lean.columns) < len(whole.columns)
+        assert sorted(lean.select(columns).collect()) == sorted(whole.select(columns).collect())
+
+
+def test_what_settles_ties_after_the_last_needed_column_is_left_out(spark):
+    rows = [(1, None, "b", "x"), (1, None, "a", "z"), (1, 3, "a", "a"), (2, 5, None, "q"), (2, 5, "c", "p")]
+    df = spark.createDataFrame(rows, "k int, first int, second string, third string").repartition(3)
+    whole = keep_first(df, ["k"])
+    assert sorted(whole.select("k", "first", "second").collect()) == [(1, None, "a"), (2, 5, None)]
+    lean = keep_first(df, ["k"], ["second"])
+    assert lean.columns == ["k", "first", "second"]
+    assert sorted(lean.collect()) == sorted(whole.select("k", "first", "second").collect())
+
+
+def test_interactions_shuffle_only_what_they_need(spark, sample_folder):
+    sample = Sample(spark, sample_folder)
+    lines = facts.sales_lines(sample.tables, customers=True)
+    whole = recommend.interactions(lines)
+    assert sample.interactions().exceptAll(whole).isEmpty() and whole.exceptAll(sample.interactions()).isEmpty()
+    plan = plan_of(sample.interactions())
+    assert "l_shipdate" not in plan and "customer_city" not in plan and "order_approved_at" not in plan
+
+
+@pytest.mark.parametrize("name", ["recommendations_check", "precision_at_k"])
+def test_interactions_are_computed_once(name, spark, monkeypatch):
+    passes, build = [], Sample.interactions
+    monkeypatch.setattr(Sample, "interactions", lambda self: passes.append(1) or build(self))
+    assert all_queries()[name](spark, "/root/testdata/sf0.001").count() == 1
+    assert len(passes) == 1
+    # What was written for the training is also what the results are compared with.
+    assert "lineitem.parquet" not in plan_of(all_queries()[name](spark, "/root/testdata/sf0.001"))
