@@ -8,7 +8,7 @@ from datetime import date, timedelta
 import pytest
 from pyspark.sql import functions as F
 
-from tallyloom.models import forecast, per_series, recommend
+from tallyloom.models import forecast, per_series, recommend, segments
 from tallyloom.operators import facts
 from tallyloom.operators.dedup import keep_first
 from tallyloom.plans.catalog import Sample, all_queries
@@ -127,3 +127,12 @@ def test_interactions_are_computed_once(name, spark, monkeypatch):
     assert len(passes) == 1
     # What was written for the training is also what the results are compared with.
     assert "lineitem.parquet" not in plan_of(all_queries()[name](spark, "/root/testdata/sf0.001"))
+
+
+def test_cluster_sums_are_exact_and_without_decimals(spark):
+    rows = [(k, (k * 7919 - 40) * 10**12, -k * 10**15 - 1, k) for k in range(50)]
+    points = spark.createDataFrame(rows, "customer_unique_id int, z0 long, z1 long, z2 long").repartition(4)
+    found = segments._cluster_sums(points, [[0.0, 0.0, 0.0]])
+    assert found == {0: {"n": 50} | {f"s{i}": sum(r[i + 1] for r in rows) for i in range(3)}}
+    squared = segments._cluster_sums(points, [[0.0, 0.0, 0.0]], squares=True)
+    assert squared[0]["squares"] == sum(x * x for r in rows for x in r[1:])
