@@ -8,7 +8,7 @@ from datetime import date, timedelta
 import pytest
 from pyspark.sql import functions as F
 
-from tallyloom.models import forecast, per_series, recommend, segments
+from tallyloom.models import forecast, per_series, pruned, recommend, segments
 from tallyloom.operators import facts
 from tallyloom.operators.dedup import keep_first
 from tallyloom.plans.catalog import Sample, all_queries
@@ -136,3 +136,15 @@ def test_cluster_sums_are_exact_and_without_decimals(spark):
     assert found == {0: {"n": 50} | {f"s{i}": sum(r[i + 1] for r in rows) for i in range(3)}}
     squared = segments._cluster_sums(points, [[0.0, 0.0, 0.0]], squares=True)
     assert squared[0]["squares"] == sum(x * x for r in rows for x in r[1:])
+
+
+def test_products_already_bought_meet_numbers_of_blocks_and_no_vectors(spark, monkeypatch):
+    seen, build = [], pruned._with_had
+    monkeypatch.setattr(pruned, "_with_had", lambda pairs, *rest: seen.append(pairs.columns) or build(pairs, *rest))
+    users = spark.createDataFrame([(i, [1.0, i / 7]) for i in range(9)], "id int, features array<float>")
+    items = spark.createDataFrame([(i, [i / 3, 1.0]) for i in range(8)], "id int, features array<float>")
+    had = spark.createDataFrame([(0, 7), (3, 7)], "user_idx int, item_idx int")
+    lists = pruned.top_items(users, items, 2, had, user_block=4, item_block=2).lists.collect()
+    assert seen == [["user_block", "item_block"]] * 2
+    best = {u: [r.item_idx for r in sorted(lists, key=lambda r: r["rank"]) if r.user_idx == u] for u in range(9)}
+    assert best == {u: [6, 5] if u in (0, 3) else [7, 6] for u in range(9)}
