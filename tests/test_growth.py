@@ -11,7 +11,10 @@ from pyspark.sql import functions as F
 from tallyloom.models import forecast, per_series, pruned, recommend, segments
 from tallyloom.operators import facts
 from tallyloom.operators.dedup import keep_first
+from tallyloom.operators.tables import RetailTables
+from tallyloom.plans import catalog
 from tallyloom.plans.catalog import Sample, all_queries
+from tallyloom.sinks import tables as tables_sink
 
 
 def plan_of(df):
@@ -148,3 +151,52 @@ def test_products_already_bought_meet_numbers_of_blocks_and_no_vectors(spark, mo
     assert seen == [["user_block", "item_block"]] * 2
     best = {u: [r.item_idx for r in sorted(lists, key=lambda r: r["rank"]) if r.user_idx == u] for u in range(9)}
     assert best == {u: [6, 5] if u in (0, 3) else [7, 6] for u in range(9)}
+
+
+def test_orders_are_shuffled_once_for_the_fact_table(spark, sample_folder):
+    master = facts.master_facts(Sample(spark, sample_folder).tables)
+    assert master.collect()
+    plan = plan_of(master)
+    final = plan[: plan.index("== Initial Plan ==")]
+    # The customers' side and the headers read one shuffle of the raw orders.
+    assert "ReusedExchange" in final
+    narrow = re.findall(r"Exchange hashpartitioning\(customer_id#\d+L?, \d+\).*\n.*?Project \[([^\]]*)\]", plan)
+    assert any({c.split("#")[0] for c in columns.split(", ")} == {"order_id", "customer_id"} for columns in narrow)
+
+
+def test_an_order_without_its_customer_keeps_its_columns(tables):
+    named = {name: getattr(tables, name) for name in (
+        "categories", "customers", "sellers", "products", "orders", "order_items", "order_payments", "order_reviews"
+    )}
+    whole = facts.master_facts(RetailTables(named.__getitem__)).collect()
+    named["customers"] = named["customers"].filter("customer_id != 'c1'")
+    place = ("customer_unique_id", "customer_city", "customer_state")
+
+    def without(rows, order):
+        blank = dict.fromkeys(place)
+        return sorted(str(r.asDict() | blank if r.order_id == order else r.asDict()) for r in rows)
+
+    found = facts.master_facts(RetailTables(named.__getitem__)).collect()
+    assert all(r[c] is None for r in found if r.order_id == "o1" for c in place)
+    assert without(found, "o1") == without(whole, "o1")
+
+
+def test_a_table_read_once_is_not_shuffled_to_be_written(spark, tmp_path, monkeypatch):
+    df = spark.range(1000).selectExpr("id", "if(id % 3 = 0, null, id % 5) as month").repartition(4)
+    for rebalance in (True, False):
+        written = tables_sink.write_parquet(
+            df, str(tmp_path / str(rebalance)), partition_by=["month"], rebalance=rebalance
+        )
+        assert set(written.select("id", "month").collect()) == set(df.collect())
+        # Four tasks hold rows of each month.
+        per_month = len(list((tmp_path / str(rebalance) / "month=1").glob("*.zstd.parquet")))
+        assert per_month == (1 if rebalance else 4)
+    asked = []
+
+    def spy(df, path, **options):
+        asked.append(options)
+        return tables_sink.write_parquet(df, path, **options)
+
+    monkeypatch.setattr(catalog, "write_parquet", spy)
+    assert all_queries()["snapshots_from_fact_table"](spark, "/root/testdata/sf0.001").count()
+    assert asked == [{"partition_by": ["purchase_month"], "rebalance": False}]
