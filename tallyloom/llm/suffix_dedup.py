@@ -28,6 +28,7 @@ from tallyloom.llm.arrays import BYTE_CODES, _powers, gather_ragged, mix64, text
 from tallyloom.llm.shared import written
 
 ANCHOR = 64
+SAMPLE = 120
 BLOCK = 32
 PIECE = 1 << 20
 PLACE_BITS = 22
@@ -134,6 +135,17 @@ def code_sums(data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return sums, down
 
 
+def window_least(keys: np.ndarray, width: int) -> np.ndarray:
+    """The smallest of every `width` neighbours."""
+    padded = np.full(-(-len(keys) // width) * width, SKIPPED)
+    padded[: len(keys)] = keys
+    rows = padded.reshape(-1, width)
+    ahead = np.minimum.accumulate(rows, axis=1).reshape(-1)
+    behind = np.minimum.accumulate(rows[:, ::-1], axis=1)[:, ::-1].reshape(-1)
+    windows = len(keys) - width + 1
+    return np.minimum(behind[:windows], ahead[width - 1 : width - 1 + windows])
+
+
 def anchored_segments(data: np.ndarray, length: int) -> tuple[np.ndarray, ...]:
     """(anchor hash, anchor, first window, end of windows, segment hash) of a text."""
     width = length - ANCHOR + 1
@@ -144,13 +156,8 @@ def anchored_segments(data: np.ndarray, length: int) -> tuple[np.ndarray, ...]:
         n = len(piece) - ANCHOR + 1
         hashes = window_hashes(sums, down, np.arange(n), ANCHOR)
         low = np.uint64(PLACE_BITS)
-        padded = np.full(-(-n // width) * width, SKIPPED)
-        padded[:n] = hashes >> low << low | np.arange(n, dtype=np.uint64)
-        rows = padded.reshape(-1, width)
-        ahead = np.minimum.accumulate(rows, axis=1).reshape(-1)
-        behind = np.minimum.accumulate(rows[:, ::-1], axis=1)[:, ::-1].reshape(-1)
         windows = n - width + 1
-        least = np.minimum(behind[:windows], ahead[width - 1 : width - 1 + windows])
+        least = window_least(hashes >> low << low | np.arange(n, dtype=np.uint64), width)
         anchor = (least & np.uint64((1 << PLACE_BITS) - 1)).astype(np.int64)
         first = np.flatnonzero(np.diff(anchor, prepend=-1))
         end = np.append(first[1:], windows)
@@ -394,6 +401,42 @@ def repeated_runs(rows: DataFrame, length: int) -> DataFrame:
     )
 
 
+# Strings shared with other rows, too short to be removed
+
+
+def sampled_strings(data: np.ndarray, length: int) -> np.ndarray:
+    """Hashes of strings of SAMPLE bytes, one or more from every `length` bytes, told by these alone."""
+    parts = [np.zeros(0, np.uint64)]
+    for begin in range(0, len(data) - length + 1, PIECE):
+        sums, down = code_sums(data[begin : begin + PIECE + length - 1])
+        hashes = window_hashes(sums, down, np.arange(len(sums) - SAMPLE), SAMPLE)
+        parts.append(np.unique(window_least(hashes, length - SAMPLE + 1)))
+    return np.unique(np.concatenate(parts))
+
+
+def shared_samples(rows: DataFrame, length: int) -> DataFrame:
+    """(doc_id, mark, shared): how many sampled strings of a row another row has among its own."""
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            found = [sampled_strings(data, length) for _, data in each_text(batch, 2)]
+            row = pa.array(np.repeat(np.arange(len(found)), [len(f) for f in found]).astype(np.int64))
+            sample = np.concatenate([np.zeros(0, np.uint64), *found])
+            yield pa.record_batch(
+                [batch.column(0).take(row), batch.column(1).take(row), pa.array(sample.view(np.int64))],
+                ["doc_id", "mark", "sample"],
+            )
+
+    kind = rows.schema["doc_id"].dataType.simpleString()
+    samples = written(rows.mapInArrow(run, f"doc_id {kind}, mark long, sample long"), "samples")
+    many = samples.groupBy("sample").agg(F.count("*").alias("n")).where("n > 1").select("sample")
+    return (
+        samples.join(many, "sample", "left_semi")
+        .groupBy("doc_id", "mark")
+        .agg(F.count_distinct("sample").alias("shared"))
+    )
+
+
 # Removal
 
 
@@ -415,11 +458,14 @@ def remove_repeats(
     doc_id: str = "doc_id",
     text: str = "text",
     also: tuple[int, ...] = (),
+    shared: int | None = None,
 ) -> DataFrame:
     """Every row's columns, with `kept` (bytes that stay), n_bytes, n_removed and n_spans.
 
     For every other length in `also`, n_removed_<length> counts the bytes that strings
-    of that length would remove; they stay in `kept`.
+    of that length would remove; they stay in `kept`.  With `shared`, a length, n_shared
+    counts strings of 120 bytes that another row has too, of a sample that takes one or
+    more from every `shared` bytes: above 0 wherever two rows share so long a string.
 
     A byte goes if a string of `length` bytes that covers it also starts
     anywhere else in the table, in the same text included; strings are judged
@@ -435,21 +481,26 @@ def remove_repeats(
     runs = repeated_runs(rows, length).withColumn("length", F.lit(length))
     for other in also:
         runs = runs.unionByName(repeated_runs(rows, other).withColumn("length", F.lit(other)))
+    found = runs.select("doc_id", "mark", F.array("low", "high", "length").alias("run"))
+    if shared is not None:
+        found = found.unionByName(shared_samples(rows, shared), allowMissingColumns=True)
+    sums = [F.max("shared").alias("shared")] if shared is not None else []
     per_row = written(
-        runs.groupBy("doc_id", "mark").agg(F.collect_list(F.array("low", "high", "length")).alias("runs")),
-        "runs",
+        found.groupBy("doc_id", "mark").agg(F.collect_list("run").alias("runs"), *sums), "runs"
     )
     # Names that no column of the input has.
-    run_id, run_mark, run_list = (max(docs.columns, key=len) + end for end in ("_id", "_mark", "_runs"))
-    per_row = per_row.toDF(run_id, run_mark, run_list)
+    run_id, run_mark, *run_columns = (max(docs.columns, key=len) + "_" + c for c in per_row.columns)
+    per_row = per_row.toDF(run_id, run_mark, *run_columns)
     joined = docs.join(
         per_row,
         docs[doc_id].eqNullSafe(per_row[run_id]) & (F.xxhash64(docs[text]) == per_row[run_mark]),
         "left",
-    ).select(*(docs[c] for c in docs.columns), per_row[run_list])
+    ).select(*(docs[c] for c in docs.columns), *(per_row[c] for c in run_columns))
     kept = docs.columns
     at = kept.index(text)
     counted = ["n_bytes", "n_removed", "n_spans", *(f"n_removed_{other}" for other in also)]
+    if shared is not None:
+        counted.append("n_shared")
 
     def cut(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -467,6 +518,8 @@ def remove_repeats(
                 sizes.append(len(data))
                 removed.append(int((high - low).sum()))
                 spans.append(len(low))
+            if shared is not None:
+                others.append(batch.column(len(kept) + 1).fill_null(0).to_pylist())
             yield pa.record_batch(
                 [
                     *batch.columns[: len(kept)],

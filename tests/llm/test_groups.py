@@ -19,6 +19,7 @@ from tallyloom.llm.components import connected_components
 from tallyloom.llm.cover_tree import exact_top_k
 from tallyloom.llm.jaccard_join import jaccard_components
 from tallyloom.llm.licenses import oracle, scan_licenses
+from tallyloom.llm import suffix_dedup
 from tallyloom.llm.suffix_dedup import remove_repeats, spread_segments, suffix_array
 from tallyloom.llm.suffix_dedup import compared_segments, segment_bytes
 
@@ -80,6 +81,36 @@ def test_removed_bytes_equal_all_windows(spark):
     assert [r["n_removed_200"] for r in found] == [r[1] for r in without_repeats(texts, 200)]
 
 
+def test_passages_too_short_to_go_are_counted_as_shared(spark):
+    draw = random.Random(5)
+
+    def noise(size):
+        return "".join(draw.choice("abcdé fghij") for _ in range(size))
+
+    inside, passage, short = noise(400), noise(300), noise(110)
+    texts = [noise(700) + passage + noise(90), passage + noise(20), noise(500) + short, short + noise(800)]
+    texts += [inside + "-" + inside, "", None, noise(239), "y" * 300, "y" * 240 + "z"]
+    texts += [noise(1000)] * 2
+    docs = spark.createDataFrame([(k // 2, t) for k, t in enumerate(texts)], "doc_id long, text string")
+    rows = remove_repeats(docs.repartition(3), shared=240).collect()
+    found = {r["text"]: r["n_shared"] for r in rows}
+    assert [found[t] > 0 for t in texts] == [True] * 2 + [False] * 6 + [True] * 4
+    assert {r["text"]: (r["n_bytes"], bytes(r["kept"])) for r in rows} == {
+        t: (n, kept) for t, (n, _, _, kept) in zip(texts, without_repeats(texts, 400), strict=True)
+    }
+    # A row counts its own strings once, however often it is there.
+    assert 1 <= found[texts[-1]] <= 1200
+
+
+def test_sampled_strings_do_not_depend_on_the_pieces(monkeypatch):
+    data = np.random.default_rng(3).integers(97, 101, 5000).astype(np.uint8)
+    whole = suffix_dedup.sampled_strings(data, 240)
+    monkeypatch.setattr(suffix_dedup, "PIECE", 700)
+    assert suffix_dedup.sampled_strings(data, 240).tolist() == whole.tolist()
+    every = {h for k in range(0, 4761) for h in suffix_dedup.sampled_strings(data[k : k + 240], 240).tolist()}
+    assert every == set(whole.tolist())
+
+
 def test_hot_segments_spread_like_compared_ones(spark):
     rows = [(k, f"{k} " * 30 + PASSAGE + f" {k}" * 60) for k in range(12)]
     docs = spark.createDataFrame(rows, "doc_id long, text string")
