@@ -5,6 +5,8 @@ from __future__ import annotations
 import re
 from datetime import date, timedelta
 
+import numpy as np
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
@@ -200,3 +202,61 @@ def test_a_table_read_once_is_not_shuffled_to_be_written(spark, tmp_path, monkey
     monkeypatch.setattr(catalog, "write_parquet", spy)
     assert all_queries()["snapshots_from_fact_table"](spark, "/root/testdata/sf0.001").count()
     assert asked == [{"partition_by": ["purchase_month"], "rebalance": False}]
+
+
+def test_vectors_are_copied_for_large_blocks_only(spark):
+    pick = np.random.default_rng(5)
+    # Norms that are all alike prune nothing.
+    users, items = (pick.standard_normal((n, 4)).astype(np.float32) for n in (300, 20_000))
+    items /= np.linalg.norm(items, axis=1)[:, None]
+    frames = [
+        spark.createDataFrame(pd.DataFrame({"id": range(len(v)), "features": v.tolist()}), "id int, features array<float>")
+        for v in (users, items)
+    ]
+    found = pruned.top_items(*frames, 3)
+    copies = found.pairs.agg(F.sum("users"), F.sum("items")).first()
+    assert tuple(copies) == (300, 20_000)
+    best = np.sort(users @ items.T, axis=1)[:, :-4:-1]
+    for row in found.lists.collect():
+        assert row.score == pytest.approx(best[row.user_idx, row["rank"] - 1], rel=1e-5)
+    assert found.lists.count() == 900
+
+
+def test_steps_left_out_hold_no_better_product(monkeypatch):
+    monkeypatch.setattr(pruned, "ITEM_STEP", 16)
+    pick = np.random.default_rng(8)
+    u, v = (pick.standard_normal((n, 5)).astype(np.float32) for n in (60, 500))
+    u[3] = 0
+    block = pruned.steps(np.arange(500, dtype=np.int32), v)
+    assert sorted(block.ids) == list(range(500)) and np.array_equal(block.vectors, v[block.ids])
+    who, what = pick.integers(0, 60, 900), np.sort(pick.integers(0, 500, 900))
+    scores = u @ block.vectors.T
+    scores[who, what] = -np.inf
+    for beat in (np.full(60, -np.inf), np.full(60, 1.5)):
+        values, places, after = pruned.walk(u, block, 7, beat, (who, what))
+        for row in range(60):
+            best = np.sort(scores[row][scores[row] > beat[row]])[::-1][:7]
+            found = np.isfinite(values[row])
+            assert np.sort(values[row][found])[::-1] == pytest.approx(best, rel=1e-5, abs=1e-6)
+            assert values[row][found] == pytest.approx(scores[row][places[row][found]], rel=1e-5, abs=1e-6)
+            assert len(set(places[row][found])) == found.sum()
+            assert after[row] == (values[row].min() if len(best) == 7 else beat[row])
+
+
+@pytest.mark.parametrize("evaluate", [False, True])
+def test_training_carries_numbers_and_ids_only_for_the_holdout(spark, monkeypatch, evaluate):
+    seen = []
+
+    class Training:
+        def __init__(self, **settings):
+            pass
+
+        def fit(self, rows):
+            seen.append(set(rows.columns))
+
+    monkeypatch.setattr(recommend, "ALS", Training)
+    monkeypatch.setattr(recommend, "_evaluated", lambda fitted, holdout: seen.append(set(holdout.columns)))
+    bought = spark.createDataFrame([("a", "p", 1.0), ("b", "q", 2.0)], "customer_unique_id string, product_id string, rating float")
+    recommend.fit_recommender(bought, evaluate=evaluate)
+    numbers, ids = {"user_idx", "item_idx", "rating", "part"}, {"customer_unique_id", "product_id"}
+    assert seen == ([numbers | ids] * 2 if evaluate else [numbers])
